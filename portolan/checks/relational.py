@@ -156,7 +156,6 @@ def attach_key_large_dimension(spark: SparkSession, folder: str) -> DataFrame:
         "pair_id",
         keep_unmatched=True,
         max_broadcast_rows=0,
-        hot_keys=100,
     )
 
 
@@ -186,9 +185,11 @@ def interval_sanity_filter(spark: SparkSession, folder: str) -> DataFrame:
     started = F.col("o_orderdate").cast("date")
     ended = F.when(F.col("l_linestatus") != "O", F.col("l_shipdate").cast("date"))
     lines = table(spark, folder, "lineitem")
-    orders = table(spark, folder, "orders")
+    orders = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"
+    )
     return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        lookup_join(lines, orders, ["l_orderkey"])
         .filter(open_or_ordered(started, ended))
         .select(
             "l_orderkey",
@@ -258,12 +259,12 @@ _MONTHS = (
 )
 def monthly_profile_pivot(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").filter(since("o_orderdate", dt.date(1996, 1, 1)))
-    customers = table(spark, folder, "customer")
-    nations = table(spark, folder, "nation")
-    located = (
-        orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-        .withColumn("nation", F.upper("n_name"))
+    customers = table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey")
+    )
+    nations = table(spark, folder, "nation").select("n_nationkey", F.upper("n_name").alias("nation"))
+    located = lookup_join(
+        lookup_join(orders, customers, ["o_custkey"]), nations, ["n_nationkey"]
     )
     profile = monthly_profile(
         located,
@@ -415,8 +416,10 @@ def listed_rows_sorted(spark: SparkSession, folder: str) -> DataFrame:
 )
 def year_pair_counts(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem")
-    orders = table(spark, folder, "orders")
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    orders = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"
+    )
+    joined = lookup_join(lines, orders, ["l_orderkey"])
     return year_pair_histogram(joined, "l_shipdate", "o_orderdate")
 
 

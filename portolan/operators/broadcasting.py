@@ -3,17 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # Rows of a narrow lookup (a few short columns) that fit an executor many times over.
 MAX_BROADCAST_ROWS = 500_000
 
 
 def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has no more than ``rows`` rows; counting stops soon after the bound."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether ``df`` has no more than ``rows`` rows.
 
-
-def broadcast_if_bounded(df: DataFrame, rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if its count is within the bound, else as it is."""
-    return F.broadcast(df) if at_most(df, rows) else df
+    Counts all of it, which for stored Parquet reads footers only.
+    """
+    return df.count() <= rows

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from portolan.functions._columns import ColumnLike, as_column
 from portolan.functions.dates import serial_of
+from portolan.operators.lookup import lookup_join
 
 # Above this many values an exclude list belongs in a table.
 MAX_INLINE_VALUES = 1000
@@ -29,8 +30,8 @@ def exclude_values(df: DataFrame, column: str, values: Sequence[object] | DataFr
     """
     recorded = df.filter(F.col(column).isNotNull())
     if isinstance(values, DataFrame):
-        listed = values.select(F.col(values.columns[0]).alias(column))
-        return recorded.join(listed, column, "left_anti")
+        listed = values.select(F.col(values.columns[0]).alias(column)).distinct()
+        return lookup_join(recorded, listed, [column], "left_anti")
     if len(values) > MAX_INLINE_VALUES:
         raise ValueError("pass long exclude lists as a DataFrame")
     return recorded.filter(~F.col(column).isin(list(values)))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from portolan.operators.broadcasting import MAX_BROADCAST_ROWS
-from portolan.operators.lookup import HOT_KEYS, lookup_join
+from portolan.operators.lookup import lookup_join
 from portolan.sources.scratch import ensure_checkpoint_dir
 
 
@@ -66,7 +66,6 @@ def attach_surrogate_key(
     key: str,
     keep_unmatched: bool = False,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-    hot_keys: int = HOT_KEYS,
 ) -> DataFrame:
     """Add the dimension's ``key`` to facts; ``on`` maps fact columns to dimension columns.
 
@@ -75,4 +74,4 @@ def attach_surrogate_key(
     """
     lookup = dimension.select(*[F.col(d).alias(f) for f, d in on.items()], key)
     how = "left" if keep_unmatched else "inner"
-    return lookup_join(facts, lookup, list(on), how, max_broadcast_rows, hot_keys)
+    return lookup_join(facts, lookup, list(on), how, max_broadcast_rows)

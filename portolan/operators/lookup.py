@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from portolan.functions._columns import ColumnLike, as_column
 from portolan.operators.broadcasting import MAX_BROADCAST_ROWS, at_most
 
-# Keys whose rows bypass the shuffle when the lookup is too large to broadcast.
-HOT_KEYS = 10_000
+# Keys a join treats apart, and the counters that find them: a key that is not found
+# holds less than one row in HOT_KEYS.
+HOT_KEYS = 5_000
+HOT_KEY_COUNTERS = 4 * HOT_KEYS
 
 
 def lookup_join(
@@ -21,41 +23,66 @@ def lookup_join(
     on: Sequence[str],
     how: str = "inner",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-    hot_keys: int = HOT_KEYS,
 ) -> DataFrame:
-    """Join ``facts`` to a ``lookup`` that is unique on ``on``; ``how`` is inner or left.
+    """Join ``facts`` to a ``lookup`` that is unique on ``on``.
 
-    A lookup counted to be small is broadcast and ``facts`` is not shuffled. A larger
-    one is joined in parts whose union is the whole join: rows of the ``hot_keys``
-    most frequent keys against a broadcast of just those lookup rows, the remaining
-    keys by a shuffle join in which no key is frequent, and, for a left join, rows with
-    a null key, which match nothing and so are not shuffled to one task.
+    ``how`` is inner, left, left_semi or left_anti. A lookup counted to be small is
+    broadcast, and ``facts`` is not shuffled. For a larger one the frequent keys of
+    ``facts`` are found first; their rows, and rows with a null key, are joined to a
+    broadcast of just those keys' lookup rows, and the rest by a shuffle join in which
+    no key is frequent. The two parts are disjoint and make up the whole join.
     """
-    if how not in ("inner", "left"):
-        raise ValueError("how must be 'inner' or 'left'")
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"unsupported join type {how!r}")
     on = list(on)
+    for c in on:
+        if facts.schema[c].dataType != lookup.schema[c].dataType:
+            raise TypeError(f"key {c!r} has different types on the two sides")
     if at_most(lookup, max_broadcast_rows):
         return facts.join(F.broadcast(lookup), on, how)
 
-    keyed = facts.na.drop(subset=on)
-    hot = (
-        keyed.groupBy(*on).count()
-        .orderBy(F.desc("count"), *on)
-        .limit(hot_keys)
-        .select(*on)
+    keeps_unmatched = how in ("left", "left_anti")
+    hot = frequent_key_hashes(facts, on)
+    if not hot and not keeps_unmatched:
+        return facts.join(lookup, on, how)
+    is_hot = _hash_among(on, hot)
+    apart = is_hot | any_null(on) if keeps_unmatched else is_hot
+    hot_lookup = lookup.filter(is_hot)
+    return (
+        facts.filter(apart).join(F.broadcast(hot_lookup), on, how)
+        .unionByName(facts.filter(~apart).join(lookup, on, how))
     )
-    hot_lookup = lookup.join(F.broadcast(hot), on, "left_semi")
-    parts = [
-        keyed.join(F.broadcast(hot), on, "left_semi").join(F.broadcast(hot_lookup), on, how),
-        keyed.join(F.broadcast(hot), on, "left_anti").join(lookup, on, how),
-    ]
-    if how == "left":
-        gained = [f for f in lookup.schema.fields if f.name not in on]
-        keyless = facts.filter(reduce(Column.__or__, [F.col(c).isNull() for c in on]))
-        parts.append(
-            keyless.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in gained])
+
+
+def frequent_key_hashes(df: DataFrame, on: Sequence[str]) -> list[int]:
+    """``xxhash64`` of the keys that hold at least one row in HOT_KEYS.
+
+    One scan of the key columns; each task sends a sketch of fixed size, not its keys.
+    """
+    found = (
+        df.na.drop(subset=list(on))
+        .select(F.xxhash64(*on).alias("h"))
+        .agg(
+            F.call_function(
+                "approx_top_k", F.col("h"), F.lit(HOT_KEYS), F.lit(HOT_KEY_COUNTERS)
+            ).alias("top"),
+            F.count("*").alias("rows"),
         )
-    return reduce(DataFrame.unionByName, parts)
+        .first()
+    )
+    return [k["item"] for k in found["top"] if k["count"] * HOT_KEYS >= found["rows"]]
+
+
+def _hash_among(on: Sequence[str], hashes: Sequence[int]) -> Column:
+    if not hashes:
+        return F.lit(False)
+    # As text: one call for the whole list, where isin() makes one per value.
+    key = ", ".join(f"`{c}`" for c in on)
+    return F.expr(f"xxhash64({key}) IN ({', '.join(f'{h}L' for h in hashes)})")
+
+
+def any_null(columns: Sequence[str]) -> Column:
+    return reduce(Column.__or__, [F.col(c).isNull() for c in columns])
 
 
 def valid_or_other(code: ColumnLike, valid: Sequence[str], other: str = "99") -> Column:
@@ -80,16 +107,28 @@ def valid_or_other_lookup(
     )
 
 
-def match_rate(rows: DataFrame, key: Column, lookup: DataFrame, name: str, code: str) -> DataFrame:
+def match_rate(
+    rows: DataFrame,
+    key: Column,
+    lookup: DataFrame,
+    name: str,
+    code: str,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+) -> DataFrame:
     """Rows per matched ``code`` when ``key`` is left-joined to ``lookup[name]``.
 
     A name listed under several codes counts for each; the null code holds the rows
     without a match. Rows are counted per key before the join, so a frequent key is one
-    row by the time it is joined.
+    row by the time it is joined; a long lookup is joined to those counts, as one of
+    its names may be frequent.
     """
     keyed = rows.select(key.alias(name)).groupBy(name).agg(F.count("*").alias("_rows"))
-    return (
-        keyed.join(lookup.select(name, code), name, "left")
-        .groupBy(code)
-        .agg(F.sum("_rows").alias("count"))
-    )
+    listed = lookup.select(name, code)
+    if at_most(listed, max_broadcast_rows):
+        counted = keyed.join(F.broadcast(listed), name, "left")
+    else:
+        matched = lookup_join(listed, keyed, [name], "inner", max_broadcast_rows)
+        unmatched = keyed.join(listed.select(name).distinct(), name, "left_anti")
+        no_code = F.lit(None).cast(lookup.schema[code].dataType).alias(code)
+        counted = matched.unionByName(unmatched.select(name, "_rows", no_code))
+    return counted.groupBy(code).agg(F.sum("_rows").alias("count"))

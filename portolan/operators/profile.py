@@ -78,7 +78,7 @@ def uniqueness(df: DataFrame, column: str) -> DataFrame:
     c = F.col(column)
     totals = df.agg(
         F.count("*").alias("rows"),
-        (F.count_distinct(c) + F.max(c.isNull()).cast("bigint")).alias("distinct_values"),
+        (F.count_distinct(c) + (F.count_if(c.isNull()) > 0).cast("bigint")).alias("distinct_values"),
     )
     return totals.withColumn(
         "unique_percent", F.try_divide(F.col("distinct_values"), F.col("rows")) * 100

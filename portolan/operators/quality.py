@@ -74,7 +74,7 @@ def run_checks(df: DataFrame, table: str, expected: Expectations) -> DataFrame:
 def _distinct_keys(key: Sequence[str]) -> Column:
     if len(key) == 1:
         c = F.col(key[0])
-        return F.count_distinct(c) + F.coalesce(F.max(c.isNull()).cast("bigint"), F.lit(0))
+        return F.count_distinct(c) + (F.count_if(c.isNull()) > 0).cast("bigint")
     return F.count_distinct(F.struct(*key))
 
 

@@ -594,11 +594,14 @@ def valid_code_or_other(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def star_join_analysis(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines are summed per order, then per customer, before each join."""
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    kept = F.lit(1) - F.col("l_discount").cast("decimal(4,2)")
+    """Lines are summed per order, then per customer, before each join.
+
+    Prices are summed exactly: as whole ten-thousandths, then per nation as decimals.
+    """
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    percent_kept = F.lit(100) - F.round(F.col("l_discount") * 100).cast("bigint")
     per_order = table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.sum(price * kept).alias("revenue"), F.count("*").alias("line_count")
+        F.sum(cents * percent_kept).alias("revenue"), F.count("*").alias("line_count")
     )
     totals = [F.sum("revenue").alias("revenue"), F.sum("line_count").alias("line_count")]
     per_customer = (
@@ -613,6 +616,7 @@ def star_join_analysis(spark: SparkSession, folder: str) -> DataFrame:
     )
     per_nation = (
         per_customer.join(table(spark, folder, "customer"), "c_custkey")
+        .withColumn("revenue", F.col("revenue").cast("decimal(28,0)"))
         .groupBy(F.col("c_nationkey").alias("n_nationkey"), "o_orderpriority", "season")
         .agg(*totals)
     )
@@ -622,6 +626,6 @@ def star_join_analysis(spark: SparkSession, folder: str) -> DataFrame:
         .groupBy("r_name", "n_name", "o_orderpriority", "season")
         .agg(
             F.sum("line_count").alias("line_count"),
-            F.sum("revenue").cast("double").alias("revenue"),
+            (F.sum("revenue") / 10000).cast("double").alias("revenue"),
         )
     )

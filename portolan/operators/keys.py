@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from portolan.operators.broadcasting import MAX_BROADCAST_ROWS
 from portolan.operators.lookup import lookup_join
-from portolan.sources.scratch import ensure_checkpoint_dir
+from portolan.sources.scratch import store
 
 
 def distinct_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -21,12 +21,13 @@ def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None =
 
     Rows that tie are identical, so the survivor does not depend on partitioning.
     Spark trims each key to one row before the shuffle (WindowGroupLimit), so a key
-    that holds much of the table does not reach one task whole.
+    that holds much of the table does not reach one task whole. The hash of the key
+    leads the sort, where it settles most comparisons without reading the key itself.
     """
     first = list(order_by or [])
     rest = [c for c in df.columns if c not in set(keys) | set(first)]
     order = [F.col(c) for c in first + rest] or [F.lit(1)]
-    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(*order)))
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
@@ -35,16 +36,14 @@ def dense_surrogate_key(df: DataFrame, order_by: Sequence[str], name: str = "id"
 
     Equal to ``row_number() over (order by ...)`` without moving all rows to one task:
     the rows are range-sorted, each notes its partition and its place in it, and the
-    sizes of the partitions before it are added. The sorted rows are checkpointed, so
-    the places are stored facts and a lost executor cannot change them. Only the table
-    of partition sizes, one row per partition, is summed in one task and broadcast.
+    sizes of the partitions before it are added. The sorted rows are written to the
+    session's checkpoint folder first, so the places are stored facts that a lost
+    executor cannot change. Only the table of partition sizes, one row per partition,
+    is summed in one task and broadcast.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     # monotonically_increasing_id: partition number in the upper 31 bits, row below.
-    sorted_rows = (
-        df.orderBy(*order_by).withColumn("_place", F.monotonically_increasing_id()).checkpoint()
-    )
-    placed = sorted_rows.select(
+    sorted_rows = df.orderBy(*order_by).withColumn("_place", F.monotonically_increasing_id())
+    placed = store(sorted_rows, "sorted-keys").select(
         *df.columns,
         F.shiftright("_place", 33).alias("_part"),
         F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)).alias("_row"),

@@ -51,8 +51,13 @@ def column_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     totals, rows = [], []
     for i, f in enumerate(wanted):
         c = F.col(f"`{f.name}`")
-        numeric = isinstance(f.dataType, (T.NumericType, T.StringType))
-        n = c.try_cast("double") if numeric else F.lit(None).cast("double")
+        if isinstance(f.dataType, T.StringType):
+            # A failed cast is costly; most text that is no number starts as none.
+            n = F.when(c.rlike(r"^\s*[-+.\dNnIi]"), c.try_cast("double"))
+        elif isinstance(f.dataType, T.NumericType):
+            n = c.cast("double")
+        else:
+            n = F.lit(None).cast("double")
         totals += [
             F.count(c).alias(f"c{i}"),
             F.avg(n).alias(f"m{i}"),

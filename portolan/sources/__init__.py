@@ -10,7 +10,7 @@ from portolan.sources.codelists import (
     read_format_statement,
 )
 from portolan.sources.readers import materialize_if_missing, read_delimited, read_parquet
-from portolan.sources.scratch import ensure_checkpoint_dir, new_scratch_path
+from portolan.sources.scratch import ensure_checkpoint_dir, new_scratch_path, store
 from portolan.sources.writers import write_partitioned, write_table
 
 __all__ = [
@@ -26,6 +26,7 @@ __all__ = [
     "read_delimited",
     "read_format_statement",
     "read_parquet",
+    "store",
     "write_partitioned",
     "write_table",
 ]

@@ -32,12 +32,12 @@ HEADLINE = (
     "build_demographics",
     "analyse_travel_patterns",
     "surrogate_key_dim",
-    "attach_key",
-    "attach_key_large_dimension",
+    "attach_surrogate_key",
+    "attach_surrogate_key_large_dimension",
     "zero_to_null_int",
-    "serial_day_conversion",
+    "serial_day_to_date",
     "split_pick_typed",
-    "hemisphere_coordinates",
+    "hemisphere_coordinate",
     "sentinel_date_parse",
     "interval_sanity_filter",
     "year_or_open_filter",
@@ -48,8 +48,8 @@ HEADLINE = (
     "exclude_table_filter",
     "text_key_match_rate",
     "duplicate_key_topk",
-    "year_pair_counts",
-    "profile_of_table",
+    "year_pair_histogram",
+    "table_profile",
     "summary_statistics",
     "quality_suite",
     "source_output_match",

@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from portolan import schema
-from portolan.plans import Sources, build_star
+from portolan.plans import Sources, build_star, record_losses
 from portolan.sources import read_code_list, read_delimited, read_format_statement, read_parquet
 
 
@@ -33,6 +33,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--year", type=int, default=2016, help="year in which closed stays end")
     p.add_argument("--keep-unmatched", action="store_true", help="keep records without a flight")
     p.add_argument("--include-open", action="store_true", help="dates of open stays as well")
+    p.add_argument("--losses", action="store_true", help="count records that are left out")
     a = p.parse_args(argv)
 
     spark = SparkSession.builder.appName("portolan").getOrCreate()
@@ -54,6 +55,9 @@ def main(argv: list[str] | None = None) -> None:
         keep_unmatched=a.keep_unmatched,
         include_open=a.include_open,
     )
+    if a.losses:
+        for row in record_losses(sources.records, a.year).collect():
+            print(f"{row['reason']}: {row['rows']} records")
     for name, table in tables.items():
         print(f"{name}: {table.count()} rows")
 

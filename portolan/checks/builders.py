@@ -96,6 +96,20 @@ def _fact(spark: SparkSession, folder: str) -> DataFrame:
     return star.immigration_fact(raw, star.airlines_dimension(raw), YEAR)
 
 
+@query(
+    f"""
+    WITH {_RECORDS}
+    SELECT 'no airline or flight number' AS reason, count(*) AS "rows" FROM r WHERE airline IS NULL OR fltno IS NULL
+    UNION ALL SELECT 'stay ends outside the year', count(*) FROM r WHERE l_returnflag = 'A' AND year(dep) <> {YEAR}
+    UNION ALL SELECT 'stay ends before it starts', count(*) FROM r WHERE l_returnflag = 'A' AND dep < arr
+    UNION ALL SELECT reason, 0 FROM (VALUES {", ".join(
+        f"('{n} does not fit {'bigint' if n == 'admission_number' else 'int'}')" for n in star.FACT_NUMBERS)}) v(reason)
+    """
+)
+def count_record_losses(spark: SparkSession, folder: str) -> DataFrame:
+    return star.record_losses(records(spark, folder), YEAR)
+
+
 @query(f"WITH {_RECORDS} SELECT * FROM flights")
 def build_airlines(spark: SparkSession, folder: str) -> DataFrame:
     return star.airlines_dimension(records(spark, folder))

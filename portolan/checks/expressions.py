@@ -47,7 +47,8 @@ def scan_project_rename(spark: SparkSession, folder: str) -> DataFrame:
                      ELSE date_diff('day', DATE '1960-01-01', CAST(o_orderdate AS DATE)) + 0.25
                 END AS DOUBLE) AS serial_or_zero
     FROM orders
-    """
+    """,
+    name="serial_day_to_date",
 )
 def serial_day_conversion(spark: SparkSession, folder: str) -> DataFrame:
     digit = F.col("o_orderkey") % 10
@@ -125,7 +126,8 @@ def split_pick_typed(spark: SparkSession, folder: str) -> DataFrame:
                      WHEN c_acctbal < 0 THEN -(c_custkey % 90 + 0.25) ELSE c_custkey % 90 + 0.25
                 END AS DOUBLE) AS latitude
     FROM customer
-    """
+    """,
+    name="hemisphere_coordinate",
 )
 def hemisphere_coordinates(spark: SparkSession, folder: str) -> DataFrame:
     number = F.concat((F.col("c_custkey") % 90).cast("string"), F.lit(".25"))

@@ -10,12 +10,12 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str) -> Callable[[Query], Query]:
-    """Register the function under its name, with the SQL that gives the same rows."""
+def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Register the function with the SQL that gives the same rows, by default as its name."""
 
     def register(build: Query) -> Query:
-        QUERIES[build.__name__] = build
-        ORACLES[build.__name__] = sql
+        QUERIES[name or build.__name__] = build
+        ORACLES[name or build.__name__] = sql
         return build
 
     return register

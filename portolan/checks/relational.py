@@ -131,13 +131,13 @@ def _pair_facts(spark: SparkSession, folder: str) -> DataFrame:
 _PAIR_KEY = {"l_partkey": "l_partkey", "l_suppkey": "l_suppkey"}
 
 
-@query(_PAIR_FACTS.format(how="INNER"))
+@query(_PAIR_FACTS.format(how="INNER"), name="attach_surrogate_key")
 def attach_key(spark: SparkSession, folder: str) -> DataFrame:
     pairs = _part_suppliers(spark, folder)
     return attach_surrogate_key(_pair_facts(spark, folder), pairs, _PAIR_KEY, "pair_id")
 
 
-@query(_PAIR_FACTS.format(how="LEFT"))
+@query(_PAIR_FACTS.format(how="LEFT"), name="attach_surrogate_key_keep_unmatched")
 def attach_key_keep_unmatched(spark: SparkSession, folder: str) -> DataFrame:
     pairs = _part_suppliers(spark, folder)
     return attach_surrogate_key(
@@ -145,7 +145,7 @@ def attach_key_keep_unmatched(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query(_PAIR_FACTS.format(how="LEFT"))
+@query(_PAIR_FACTS.format(how="LEFT"), name="attach_surrogate_key_large_dimension")
 def attach_key_large_dimension(spark: SparkSession, folder: str) -> DataFrame:
     """The join as it runs when the dimension is beyond the broadcast bound."""
     pairs = _part_suppliers(spark, folder)
@@ -247,12 +247,12 @@ _MONTHS = (
 @query(
     f"""
     WITH monthly AS (
-        SELECT upper(n_name) AS nation, month(o_orderdate) AS m, avg(o_totalprice) AS price,
+        SELECT upper(n_name) AS nation, month(o_orderdate) AS m, avg(round(o_totalprice * 100)) AS cents,
                avg(CAST(o_custkey AS DOUBLE)) AS cust
         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
         WHERE o_orderdate >= DATE '1996-01-01' GROUP BY 1, 2)
-    SELECT nation, round(arg_min(cust, m), 4) AS first_customer,
-           {", ".join(f"round(max(CASE WHEN m = {i} THEN price END), 2) AS price_{name}"
+    SELECT nation, arg_min(cust, m) AS first_customer,
+           {", ".join(f"max(CASE WHEN m = {i} THEN cents END) AS cents_{name}"
                       for i, name in enumerate(_MONTHS, 1))}
     FROM monthly GROUP BY nation
     """
@@ -266,18 +266,14 @@ def monthly_profile_pivot(spark: SparkSession, folder: str) -> DataFrame:
     located = lookup_join(
         lookup_join(orders, customers, ["o_custkey"]), nations, ["n_nationkey"]
     )
-    profile = monthly_profile(
+    # Whole cents, so that sums are exact and means do not depend on the order of rows.
+    return monthly_profile(
         located,
         "nation",
         "o_orderdate",
-        "o_totalprice",
+        F.round(F.col("o_totalprice") * 100),
         {"first_customer": F.col("o_custkey").cast("double")},
-        prefix="price_",
-    )
-    return profile.select(
-        "nation",
-        F.round("first_customer", 4).alias("first_customer"),
-        *[F.round(f"price_{m}", 2).alias(f"price_{m}") for m in _MONTHS],
+        prefix="cents_",
     )
 
 
@@ -412,7 +408,8 @@ def listed_rows_sorted(spark: SparkSession, folder: str) -> DataFrame:
     SELECT CAST(year(l_shipdate) AS INTEGER) AS end_year, CAST(year(o_orderdate) AS INTEGER) AS start_year,
            count(*) AS count
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2
-    """
+    """,
+    name="year_pair_histogram",
 )
 def year_pair_counts(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem")
@@ -461,7 +458,8 @@ _PROFILED = {
         f"""SELECT '{c}' AS "column", '{t}' AS "type", count(*) AS "rows", count(*) - count({c}) AS nulls,
             count(DISTINCT {c}) + CASE WHEN count(*) > count({c}) THEN 1 ELSE 0 END AS distinct_values FROM o"""
         for c, t in _PROFILED.items()
-    )
+    ),
+    name="table_profile",
 )
 def profile_of_table(spark: SparkSession, folder: str) -> DataFrame:
     open_priority = F.when(F.col("o_orderstatus") == "O", F.col("o_orderpriority"))

@@ -10,6 +10,7 @@ from portolan.plans.star import (
     immigration_fact,
     modes_dimension,
     ports_dimension,
+    record_losses,
     regions_dimension,
     visas_dimension,
 )
@@ -29,6 +30,7 @@ __all__ = [
     "ports_dimension",
     "publish",
     "read_star",
+    "record_losses",
     "regions_dimension",
     "travel_patterns",
     "visas_dimension",

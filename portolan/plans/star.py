@@ -38,6 +38,7 @@ from portolan.operators import (
     serial_open_or_within_year,
     since,
 )
+from portolan.operators.lookup import any_null
 from portolan.sources import TRAVEL_MODES, VISA_PURPOSES, code_list
 
 # Airport codes that several airports share and no port of entry uses.
@@ -128,6 +129,29 @@ def immigration_fact(
     return conform(keyed, schema.IMMIGRATION.schema)
 
 
+def record_losses(records: DataFrame, year: int = 2016) -> DataFrame:
+    """``(reason, rows)``: records the fact table leaves out, and values it cannot hold.
+
+    A record may count under several reasons. One scan.
+    """
+    arrived, departed = serial_day_to_date("arrdate"), serial_day_to_date("depdate")
+    reasons = {
+        "no airline or flight number": any_null(["airline", "fltno"]),
+        "stay ends outside the year": ~serial_open_or_within_year("depdate", year),
+        "stay ends before it starts": ~F.coalesce(open_or_ordered(arrived, departed), F.lit(False)),
+    }
+    for name, raw in FACT_NUMBERS.items():
+        target = schema.IMMIGRATION.schema[name].dataType.simpleString()
+        unfit = F.col(raw).isNotNull() & F.col(raw).try_cast(target).isNull()
+        reasons[f"{name} does not fit {target}"] = unfit
+    totals = records.agg(*[F.count_if(c).alias(f"r{i}") for i, c in enumerate(reasons.values())])
+    counted = [
+        F.struct(F.lit(reason).alias("reason"), F.col(f"r{i}").alias("rows"))
+        for i, reason in enumerate(reasons)
+    ]
+    return totals.select(F.inline(F.array(*counted)))
+
+
 def airports_dimension(
     airports: DataFrame,
     excluded: Sequence[str] | DataFrame = SHARED_AIRPORT_CODES,

@@ -22,11 +22,13 @@ class TableSpec:
     foreign_keys: Mapping[str, str] = field(default_factory=dict)
     partition_by: tuple[str, ...] = ()
     typed_columns: tuple[str, ...] = ()
+    reported_unique: tuple[tuple[str, ...], ...] = ()
 
     @property
     def expectations(self) -> Expectations:
         return Expectations(
             unique=((self.primary_key,),),
+            reported_unique=self.reported_unique,
             not_null=(self.primary_key,),
             types={c: self.schema[c].dataType for c in self.typed_columns},
         )
@@ -89,6 +91,7 @@ AIRPORTS = TableSpec(
     ),
     primary_key="id",
     foreign_keys={"iata_code": "immigration_ft.port"},
+    reported_unique=(("iata_code",),),
 )
 
 DATES = TableSpec(

@@ -31,7 +31,8 @@ def code_list(
 ) -> DataFrame:
     """A short in-memory list as a table; integer codes become ``int``."""
     key_type = "int" if all(isinstance(k, int) for k in entries) else "string"
-    return spark.createDataFrame(list(entries.items()), f"`{code}` {key_type}, `{name}` string")
+    rows = spark.createDataFrame(list(entries.items()), f"`{code}` {key_type}, `{name}` string")
+    return rows.coalesce(1)
 
 
 def read_code_list(

@@ -86,6 +86,13 @@ def test_enforce(spark, small):
     assert len(enforce(run_suite({"orders": suite["orders"]}))) == 2
 
 
+def test_reported_keys_do_not_fail(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a")], "k int, s string")
+    expected = {"unique": (("k",),), "reported_unique": (("s",),)}
+    assert report(df, **expected)["reported_unique", "s"] == (False, 1)
+    assert len(enforce(run_checks(df, "t", Expectations(**expected)))) == 3
+
+
 def test_single_gates(spark):
     df = spark.createDataFrame([(1, "a"), (1, None)], "k int, s string")
     require_not_null(df, "t", "k")

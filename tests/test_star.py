@@ -23,6 +23,7 @@ from portolan.plans import (
     ports_dimension,
     publish,
     read_star,
+    record_losses,
     regions_dimension,
     travel_patterns,
 )
@@ -160,6 +161,17 @@ def test_fact_does_not_depend_on_partitioning(records):
         assert rows(immigration_fact(spread, airlines_dimension(spread))) == expected
 
 
+def test_record_losses(spark, records):
+    wide = spark.createDataFrame([record(1e12)], RECORD_SCHEMA)
+    got = by(record_losses(records.unionByName(wide)), "reason", "rows")
+    assert {reason: n for reason, (n,) in got.items() if n} == {
+        "no airline or flight number": 2,
+        "stay ends outside the year": 2,
+        "stay ends before it starts": 1,
+        "cicid does not fit int": 1,
+    }
+
+
 def test_dates(records):
     fact = immigration_fact(records, airlines_dimension(records))
     assert rows(dates_dimension(fact), "date_date", "day_of_week") == [
@@ -300,6 +312,7 @@ def test_command_line(spark, records, sources, tmp_path, capsys):
             ignoreLeadingWhiteSpace=False)
     inputs = [f"--{n}={tmp_path / n}" for n in
               ("records", "airports", "temperatures", "cities", "countries", "ports")]
-    cli.main([*inputs, f"--output={tmp_path / 'out'}"])
+    cli.main([*inputs, f"--output={tmp_path / 'out'}", "--losses"])
     printed = capsys.readouterr().out
     assert "immigration_ft: 4 rows" in printed and "ports_dm: 4 rows" in printed
+    assert "no airline or flight number: 2 records" in printed

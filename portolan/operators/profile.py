@@ -18,28 +18,39 @@ def _rows_from(totals: DataFrame, rows: Sequence[Mapping[str, Column]]) -> DataF
 def table_profile(df: DataFrame) -> DataFrame:
     """One row per column: type, rows, nulls and exact number of distinct values.
 
-    Null counts as one distinct value.
+    Null counts as one distinct value. Values are counted as (column, text) pairs, which
+    keeps the shuffled rows narrow however many columns there are; each task first
+    counts its own pairs, so a frequent value is one row per task.
     """
     fields = df.schema.fields
-    totals = df.agg(
-        F.count("*").alias("_rows"),
-        *[F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"n{i}") for i, f in enumerate(fields)],
-        *[F.count_distinct(F.col(f"`{f.name}`")).alias(f"d{i}") for i, f in enumerate(fields)],
-    )
-    return _rows_from(
-        totals,
-        [
-            {
-                "column": F.lit(f.name),
-                "type": F.lit(f.dataType.simpleString()),
-                "rows": F.col("_rows"),
-                "nulls": F.col(f"n{i}"),
-                "distinct_values": F.col(f"d{i}") + (F.col(f"n{i}") > 0).cast("bigint"),
-            }
-            for i, f in enumerate(fields)
-        ],
+    pairs = [
+        F.struct(F.lit(i).alias("i"), _as_text(f).alias("value")) for i, f in enumerate(fields)
+    ]
+    counted = df.select(F.inline(F.array(*pairs))).groupBy("i", "value").agg(F.count("*").alias("n"))
+    totals = counted.groupBy("i").agg(
+        F.sum("n").alias("rows"),
+        F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias("nulls"),
+        F.count("*").alias("distinct_values"),
     )
 
+    labels = df.sparkSession.createDataFrame(
+        [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)],
+        "i int, column string, type string",
+    ).coalesce(1)
+    # One row per column on both sides; an empty table has totals for none.
+    joined = labels.join(F.broadcast(totals), "i", "left")
+    return joined.drop("i").fillna(0)
+
+
+def _as_text(field: T.StructField) -> Column:
+    """Text that differs for different values."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.to_json(c)
+    if isinstance(field.dataType, T.BinaryType):
+        return F.hex(c)
+    return c.cast("string")
+
 
 def column_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, standard deviation, min and max per column, one row each.
@@ -52,8 +63,9 @@ def column_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     for i, f in enumerate(wanted):
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.StringType):
-            # A failed cast is costly; most text that is no number starts as none.
-            n = F.when(c.rlike(r"^\s*[-+.\dNnIi]"), c.try_cast("double"))
+            # A failed cast is costly, and most text that is no number starts with a letter.
+            first = F.substring(F.ltrim(c), 1, 1)
+            n = F.when(first.isin(*"+-.0123456789"), c.try_cast("double"))
         elif isinstance(f.dataType, T.NumericType):
             n = c.cast("double")
         else:

@@ -320,6 +320,9 @@ def test_top_duplicates(spark):
 def test_profiles(spark):
     df = spark.createDataFrame([(1, "a"), (1, None), (2, None)], "k int, s string")
     assert rows(table_profile(df)) == [("k", "int", 3, 0, 2), ("s", "string", 3, 2, 2)]
+    assert rows(table_profile(df.limit(0))) == [("k", "int", 0, 0, 0), ("s", "string", 0, 0, 0)]
+    nested = df.selectExpr("array(s, s) AS a", "cast(s AS binary) AS b")
+    assert rows(table_profile(nested), "nulls", "distinct_values") == [(0, 2), (2, 2)]
     assert rows(uniqueness(df, "k")) == [(3, 2, pytest.approx(200 / 3))]
     assert rows(uniqueness(df.limit(0), "k")) == [(0, 0, None)]
     casts = spark.createDataFrame([("1",), ("x",), (None,)], "t string")

@@ -155,7 +155,7 @@ def attach_key_large_dimension(spark: SparkSession, folder: str) -> DataFrame:
         _PAIR_KEY,
         "pair_id",
         keep_unmatched=True,
-        max_broadcast_rows=0,
+        max_broadcast_bytes=0,
     )
 
 

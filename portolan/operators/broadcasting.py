@@ -1,16 +1,35 @@
-"""Broadcast only what has been counted."""
+"""Broadcast only what has been measured."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows of a narrow lookup (a few short columns) that fit an executor many times over.
-MAX_BROADCAST_ROWS = 500_000
+# Data that every executor can hold as a hash table beside its tasks.
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
+_ROW_BYTES = 16
+_FIELD_BYTES = 8
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has no more than ``rows`` rows.
 
-    Counts all of it, which for stored Parquet reads footers only.
+def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether ``df`` takes no more than ``max_bytes`` as rows in memory.
+
+    The rows are counted first, which for stored Parquet reads footers only; the text is
+    measured only if the count leaves room for it.
     """
-    return df.count() <= rows
+    row_bytes = _ROW_BYTES + _FIELD_BYTES * len(df.columns)
+    used = df.count() * row_bytes
+    if used > max_bytes:
+        return False
+    sizes = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            sizes.append(F.sum(F.octet_length(F.to_json(c))))
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(F.sum(F.octet_length(c)))
+    if sizes:
+        used += sum(n or 0 for n in df.agg(*[s.alias(f"s{i}") for i, s in enumerate(sizes)]).first())
+    return used <= max_bytes

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from portolan.operators.broadcasting import MAX_BROADCAST_ROWS
+from portolan.operators.broadcasting import MAX_BROADCAST_BYTES
 from portolan.operators.lookup import lookup_join
 from portolan.sources.scratch import store
 
@@ -64,7 +64,7 @@ def attach_surrogate_key(
     on: Mapping[str, str],
     key: str,
     keep_unmatched: bool = False,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Add the dimension's ``key`` to facts; ``on`` maps fact columns to dimension columns.
 
@@ -73,4 +73,4 @@ def attach_surrogate_key(
     """
     lookup = dimension.select(*[F.col(d).alias(f) for f, d in on.items()], key)
     how = "left" if keep_unmatched else "inner"
-    return lookup_join(facts, lookup, list(on), how, max_broadcast_rows)
+    return lookup_join(facts, lookup, list(on), how, max_broadcast_bytes)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portolan.functions._columns import ColumnLike, as_column
-from portolan.operators.broadcasting import MAX_BROADCAST_ROWS, at_most
+from portolan.operators.broadcasting import MAX_BROADCAST_BYTES, fits_broadcast
 
 # Keys a join treats apart, and the counters that find them: a key that is not found
 # holds less than one row in HOT_KEYS.
@@ -22,12 +22,12 @@ def lookup_join(
     lookup: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Join ``facts`` to a ``lookup`` that is unique on ``on``.
 
-    ``how`` is inner, left, left_semi or left_anti. A lookup counted to be small is
-    broadcast, and ``facts`` is not shuffled. For a larger one the frequent keys of
+    ``how`` is inner, left, left_semi or left_anti. A lookup measured to be small
+    is broadcast, and ``facts`` is not shuffled. For a larger one the frequent keys of
     ``facts`` are found first; their rows, and rows with a null key, are joined to a
     broadcast of just those keys' lookup rows, and the rest by a shuffle join in which
     no key is frequent. The two parts are disjoint and make up the whole join.
@@ -38,7 +38,7 @@ def lookup_join(
     for c in on:
         if facts.schema[c].dataType != lookup.schema[c].dataType:
             raise TypeError(f"key {c!r} has different types on the two sides")
-    if at_most(lookup, max_broadcast_rows):
+    if fits_broadcast(lookup, max_broadcast_bytes):
         return facts.join(F.broadcast(lookup), on, how)
 
     keeps_unmatched = how in ("left", "left_anti")
@@ -113,7 +113,7 @@ def match_rate(
     lookup: DataFrame,
     name: str,
     code: str,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Rows per matched ``code`` when ``key`` is left-joined to ``lookup[name]``.
 
@@ -124,10 +124,10 @@ def match_rate(
     """
     keyed = rows.select(key.alias(name)).groupBy(name).agg(F.count("*").alias("_rows"))
     listed = lookup.select(name, code)
-    if at_most(listed, max_broadcast_rows):
+    if fits_broadcast(listed, max_broadcast_bytes):
         counted = keyed.join(F.broadcast(listed), name, "left")
     else:
-        matched = lookup_join(listed, keyed, [name], "inner", max_broadcast_rows)
+        matched = lookup_join(listed, keyed, [name], "inner", max_broadcast_bytes)
         unmatched = keyed.join(listed.select(name).distinct(), name, "left_anti")
         no_code = F.lit(None).cast(lookup.schema[code].dataType).alias(code)
         counted = matched.unionByName(unmatched.select(name, "_rows", no_code))

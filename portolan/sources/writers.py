@@ -18,15 +18,18 @@ def write_partitioned(
     mode: str = "overwrite",
     only_present: bool = False,
     max_records_per_file: int = 0,
+    rebalance: bool = True,
 ) -> None:
     """Parquet in ``column=value`` folders.
 
     Rows are rebalanced on the folder columns: a small folder gets one file, and Spark
     splits a large one over as many tasks as its size asks for, so one month may hold
     most of the table. With ``only_present`` an overwrite replaces just the folders that
-    occur in ``df``, for rerunning one month.
+    occur in ``df``, for rerunning one month. Without ``rebalance`` nothing is shuffled,
+    for rows that already lie together by folder.
     """
-    writer = df.hint("rebalance", *by).write.mode(mode).partitionBy(*by)
+    placed = df.hint("rebalance", *by) if rebalance else df
+    writer = placed.write.mode(mode).partitionBy(*by)
     if only_present:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:

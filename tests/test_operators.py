@@ -35,6 +35,7 @@ from portolan.operators import (
     valid_or_other,
     valid_or_other_lookup,
 )
+from portolan.operators.broadcasting import fits_broadcast
 from portolan.operators.lookup import frequent_key_hashes
 
 
@@ -228,12 +229,19 @@ def test_lookup_join_beyond_the_bound(skewed, how, on):
     if on == ["k"]:
         lookup = lookup.drop("m")
     expected = facts.join(lookup, on, how)
-    split = lookup_join(facts, lookup, on, how, max_broadcast_rows=10)
+    split = lookup_join(facts, lookup, on, how, max_broadcast_bytes=10)
     assert expected.count() > 0
     assert same_rows(expected, split)
     assert same_rows(expected, lookup_join(facts, lookup, on, how))
 
 
+def test_size_of_a_lookup(spark):
+    ids = spark.range(100)
+    assert fits_broadcast(ids, 2400) and not fits_broadcast(ids, 2399)
+    text = ids.select(F.repeat(F.lit("x"), 50).alias("t"), F.array("id").alias("a"))
+    assert fits_broadcast(text, 10_000) and not fits_broadcast(text, 8000)
+
+
 def test_only_frequent_keys_are_split_off(spark, skewed):
     facts, _ = skewed
     hot = spark.range(1).select(F.xxhash64(F.lit(5).cast("bigint"))).first()[0]

@@ -14,13 +14,14 @@ from portolan.plans.star import (
     regions_dimension,
     visas_dimension,
 )
-from portolan.plans.job import Sources, build_star, publish, read_star
+from portolan.plans.job import Sources, build_star, check_star, publish, read_star
 
 __all__ = [
     "Sources",
     "airlines_dimension",
     "airports_dimension",
     "build_star",
+    "check_star",
     "city_port_match_rate",
     "dates_dimension",
     "demographics_dimension",

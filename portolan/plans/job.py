@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portolan import schema
-from portolan.operators import QualityError, enforce, match_counts, run_checks
+from portolan.operators import QualityError, enforce, match_counts, run_checks, run_suite
 from portolan.plans import star
 from portolan.schema import TableSpec
 from portolan.sources import read_parquet, write_partitioned, write_table
@@ -67,6 +67,11 @@ def publish(
     return written
 
 
+def check_star(tables: dict[str, DataFrame]) -> DataFrame:
+    """The gates of all given tables as one report, by table name."""
+    return run_suite({name: (df, schema.TABLES[name].expectations) for name, df in tables.items()})
+
+
 def build_star(
     spark: SparkSession,
     sources: Sources,

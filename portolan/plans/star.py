@@ -157,8 +157,12 @@ def airports_dimension(
     excluded: Sequence[str] | DataFrame = SHARED_AIRPORT_CODES,
     latitude_part: int = 0,
     longitude_part: int = 1,
+    id_column: str = "ident",
 ) -> DataFrame:
-    """Open airports with a usable code, one per (code, type)."""
+    """Open airports with a usable code, one per (code, type).
+
+    ``id_column`` names the source of the primary key, ``ident`` or ``iata_code``.
+    """
     usable = recorded_and_not(
         airports.select(*schema.AIRPORT_COLUMNS), {"iata_code": "0", "type": "closed"}
     )
@@ -166,7 +170,7 @@ def airports_dimension(
     laid_out = project(
         kept,
         {
-            "id": "ident",
+            "id": id_column,
             "type": "type",
             "name": "name",
             "elevation_ft": to_number("elevation_ft"),

@@ -15,6 +15,7 @@ from portolan.plans import (
     airlines_dimension,
     airports_dimension,
     build_star,
+    check_star,
     city_port_match_rate,
     dates_dimension,
     demographics_dimension,
@@ -189,6 +190,7 @@ def test_airports(sources):
     }
     swapped = airports_dimension(sources.airports, excluded=(), latitude_part=1, longitude_part=0)
     assert by(swapped, "id", "latitude", "longitude")["B5"] == (2.0, 1.0)
+    assert rows(airports_dimension(sources.airports, id_column="iata_code"), "id") == [("AAA",), ("AAA",)]
 
 
 def test_regions(sources):
@@ -268,6 +270,10 @@ def test_whole_job(spark, sources, tmp_path):
             (f.name, f.dataType.simpleString()) for f in spec.schema)
         assert rows(again[name]) == rows(built[name])
 
+    report = check_star(again).collect()
+    assert {r["table"] for r in report} == set(schema.TABLES)
+    assert [(r["table"], r["column"]) for r in report if not r["passed"]] == [("airports_dm", "iata_code")]
+
     tables = again
     patterns = travel_patterns(
         tables["immigration_ft"], tables["modes_dm"], tables["visas_dm"], tables["regions_dm"], 2016)

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -114,3 +116,53 @@ def test_calendar_columns(spark):
 def test_seasons(spark):
     got = values(spark, "int", list(range(1, 13)), season_of_month("x"))
     assert got == ["winter"] * 2 + ["spring"] * 3 + ["summer"] * 3 + ["autumn"] * 3 + ["winter"]
+
+
+def test_text_functions_against_plain_python(spark):
+    """Random text, the rules spelled out row by row."""
+    draw = random.Random(7)
+    texts = [
+        "".join(draw.choice("NESW-,. 0123456789ab") for _ in range(draw.randint(0, 7)))
+        for _ in range(2000)
+    ]
+
+    def number(text):
+        try:
+            return float(text) if re.fullmatch(r"\s*[-+]?(\d+\.?\d*|\.\d+)\s*", text) else None
+        except ValueError:
+            return None
+
+    def coordinate(text):
+        if "N" in text or "E" in text:
+            return number(text.replace("N", "").replace("E", ""))
+        if "S" in text or "W" in text:
+            n = number(text.replace("S", "").replace("W", ""))
+            return None if n is None else -n
+        return 0.0
+
+    def part(text, i):
+        parts = text.split(",")
+        return parts[i] if i < len(parts) else None
+
+    got = values(
+        spark, "string", texts,
+        hemisphere_coordinate("x"), split_pick("x", ",", 0), split_pick("x", ",", 1),
+        split_pick("x", ",", 1, "float"),
+    )
+    expected = [
+        (coordinate(t), part(t, 0), part(t, 1), number(part(t, 1) or "")) for t in texts
+    ]
+    wrong = [(t, g, e) for t, g, e in zip(texts, got, expected) if g != e]
+    assert not wrong, wrong[:5]
+
+
+def test_numbers_against_plain_python(spark):
+    draw = random.Random(11)
+    numbers = [draw.choice([0.0, draw.uniform(-5, 5), draw.uniform(1, 3e4)]) for _ in range(2000)]
+    got = values(spark, "double", numbers, zero_as_missing("x"), serial_day_to_date("x"))
+    epoch = dt.date(1960, 1, 1)
+    expected = [
+        (int(n) if n != 0 else None, epoch + dt.timedelta(days=int(n)) if n > 0 else None)
+        for n in numbers
+    ]
+    assert got == expected

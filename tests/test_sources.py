@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import pytest
 
 from portolan.sources import (
@@ -108,6 +110,28 @@ def test_format_statement(spark, tmp_path):
     assert rows(ports) == [("ALC", "ALCAN, AK   "), ("CP ", "No Code (CP)"), ("INT", "INTL FALLS, MN")]
 
 
+class StandIn:
+    """As much of a session as the scratch folder looks at."""
+
+    def __init__(self, master, setting=None):
+        self.folder = None
+        self.conf = SimpleNamespace(get=lambda key, default: setting or default)
+        self.sparkContext = SimpleNamespace(
+            master=master,
+            getCheckpointDir=lambda: self.folder,
+            setCheckpointDir=lambda path: setattr(self, "folder", path),
+        )
+
+
+def test_scratch_folder_without_a_setting():
+    local = StandIn("local[4]")
+    folder = ensure_checkpoint_dir(local)
+    assert folder and ensure_checkpoint_dir(local) == folder
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(StandIn("yarn"))
+    assert ensure_checkpoint_dir(StandIn("yarn", "hdfs:/shared")) == "hdfs:/shared"
+
+
 def test_scratch_folder_follows_the_session(spark):
     configured = ensure_checkpoint_dir(spark)
     assert spark.conf.get("spark.checkpoint.dir", configured) == configured

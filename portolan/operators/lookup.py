@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from portolan.functions._columns import ColumnLike, as_column
 from portolan.operators.broadcasting import MAX_BROADCAST_BYTES, fits_broadcast
 
-# Keys a join treats apart, and the counters that find them: a key that is not found
-# holds less than one row in HOT_KEYS.
+# A key with at least one row in HOT_KEYS is treated apart in a join.
 HOT_KEYS = 5_000
-HOT_KEY_COUNTERS = 4 * HOT_KEYS
+# Keys are sketched in this many groups, so that as many tasks merge the sketches.
+_SKETCH_GROUPS = 64
+_COUNTERS_PER_GROUP = 4 * HOT_KEYS // _SKETCH_GROUPS
 
 
 def lookup_join(
@@ -57,20 +58,25 @@ def lookup_join(
 def frequent_key_hashes(df: DataFrame, on: Sequence[str]) -> list[int]:
     """``xxhash64`` of the keys that hold at least one row in HOT_KEYS.
 
-    One scan of the key columns; each task sends a sketch of fixed size, not its keys.
+    One scan of the key columns; a task sends sketches of fixed size, not its keys.
     """
-    found = (
+    sketched = (
         df.na.drop(subset=list(on))
         .select(F.xxhash64(*on).alias("h"))
+        .groupBy(F.pmod("h", F.lit(_SKETCH_GROUPS)).alias("sketch_group"))
         .agg(
             F.call_function(
-                "approx_top_k", F.col("h"), F.lit(HOT_KEYS), F.lit(HOT_KEY_COUNTERS)
+                "approx_top_k",
+                F.col("h"),
+                F.lit(_COUNTERS_PER_GROUP // 2),
+                F.lit(_COUNTERS_PER_GROUP),
             ).alias("top"),
             F.count("*").alias("rows"),
         )
-        .first()
+        .collect()
     )
-    return [k["item"] for k in found["top"] if k["count"] * HOT_KEYS >= found["rows"]]
+    rows = sum(g["rows"] for g in sketched)
+    return [k["item"] for g in sketched for k in g["top"] if k["count"] * HOT_KEYS >= rows]
 
 
 def _hash_among(on: Sequence[str], hashes: Sequence[int]) -> Column:

@@ -246,6 +246,14 @@ def test_only_frequent_keys_are_split_off(spark, skewed):
     facts, _ = skewed
     hot = spark.range(1).select(F.xxhash64(F.lit(5).cast("bigint"))).first()[0]
     assert hot in frequent_key_hashes(facts, ["k"])
+    # Keys of 1 in 2, 1 in 20 and 1 in 1,000 rows over a long tail of single rows.
+    n = F.col("id")
+    mixed = spark.range(200_000).select(
+        F.when(n % 2 == 0, F.lit(-1)).when(n % 20 == 1, F.lit(-2)).when(n % 1000 == 3, F.lit(-3))
+        .otherwise(n).cast("bigint").alias("k")
+    )
+    hashes = spark.createDataFrame([(-1,), (-2,), (-3,)], "k bigint").select(F.xxhash64("k"))
+    assert sorted(frequent_key_hashes(mixed, ["k"])) == sorted(r[0] for r in hashes.collect())
     even = spark.range(100_000).select(F.col("id").alias("k"))
     assert frequent_key_hashes(even, ["k"]) == []
 

@@ -35,5 +35,5 @@ def test_query_equals_sql(spark, con, name):
 
 def test_entry_points(spark):
     entry = _load(os.path.join(ROOT, "__spark_entry__.py"))
-    assert set(entry.queries()) == set(entry.oracle_sql()) == set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) == set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).count() > 0

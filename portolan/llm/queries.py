@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portolan.checks.registry import Query, table
-from portolan.llm import quality_rules, secret_scan, sharding
+from portolan.llm import byte_bpe, packing, quality_rules, secret_scan, sharding
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -82,3 +83,22 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query()
+def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = packing.token_pieces(table(spark, folder, "documents"), tokenizer, capacity=2048)
+    return packing.pack(
+        pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").cast("long").alias("ids_crc32")), capacity=2048
+    )
+
+
+@query()
+def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = byte_bpe.encode_texts(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

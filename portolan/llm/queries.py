@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portolan.checks.registry import Query, table
-from portolan.llm import byte_bpe, packing, quality_rules, secret_scan, sharding
+from portolan.llm import byte_bpe, language, packing, quality_rules, secret_scan, sharding
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -102,3 +102,8 @@ def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.detect_languages(table(spark, folder, "documents"))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portolan.checks.registry import Query, table
-from portolan.llm import byte_bpe, language, packing, quality_rules, secret_scan, sharding
+from portolan.llm import byte_bpe, language, packing, quality_rules, secret_scan, sharding, simhash
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -107,3 +107,8 @@ def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.detect_languages(table(spark, folder, "documents"))
+
+
+@query()
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, bits=2)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portolan.checks.registry import Query, table
-from portolan.llm import byte_bpe, language, packing, quality_rules, secret_scan, sharding, simhash
+from portolan.llm import byte_bpe, language, packing, page_text, quality_rules, secret_scan, sharding, simhash
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -112,3 +112,9 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, bits=2)
+
+
+@query()
+def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    texts = page_text.extract_text(table(spark, folder, "pages"))
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))

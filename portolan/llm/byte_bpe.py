@@ -187,8 +187,8 @@ def encode_texts(
         bpe, encode = coder(shared.value, pattern)
         for batch in batches:
             first, ids, decoded, held = 0, [], [], 0
-            for row, text in enumerate(batch.column(1), 1):
-                ids.append(encode(text.as_py() or ""))
+            for row, encoded in enumerate(encode(t.as_py() or "" for t in batch.column(1)), 1):
+                ids.append(encoded)
                 decoded.append(bpe.decode(ids[-1]))
                 held += len(ids[-1]) + len(decoded[-1])
                 if row == batch.num_rows or len(ids) >= BATCH_ROWS or held >= BATCH_BYTES:

@@ -3,37 +3,55 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 # A space between two characters that are not white space starts a new match of the usual
 # byte-level patterns, whatever stands before it, and no match reaches across it.
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-# Chunks kept between batches, and the longest that is kept.
-MOST_CHUNKS, LONGEST_CHUNK = 300_000, 64
+# Chunks kept of the current and of the last generation each, and the longest that is kept.
+MOST_CHUNKS, LONGEST_CHUNK = 400_000, 64
+# Characters of texts that are split at a time.
+GROUP = 2_000_000
 
 
 class ChunkEncoder:
     """Encodes whole texts, each distinct chunk once; ids come as little-endian uint32 bytes.
 
-    ``encode`` takes a list of strings and gives the bytes of each one's ids.
+    ``encode`` takes a list of strings and gives the bytes of each one's ids. When a
+    generation of known chunks is full, those met again move on to the next one.
     """
 
     def __init__(self, encode: Callable[[list[str]], Iterable[bytes]]):
         self.encode = encode
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def __call__(self, text: str) -> bytes:
-        first, *rest = _SAFE_SPACE.split(text)
+    def _group(self, texts: list[str]) -> Iterator[bytes]:
+        split = [_SAFE_SPACE.split(t) for t in texts]
+        if len(self.known) > MOST_CHUNKS:
+            self.known, self.older = {}, self.known
         known = self.known
-        missing = set(rest).difference(known)
-        if missing:
-            if len(known) + len(missing) > MOST_CHUNKS:
-                known.clear()
-                missing = set(rest)
-            new = list(missing)
-            known.update(zip(new, self.encode([" " + c for c in new])))
-        found = b"".join([next(iter(self.encode([first]))) if first else b"", *map(known.__getitem__, rest)])
-        for c in missing:
+        missing: set[str] = set()
+        for _, *rest in split:
+            missing.update(set(rest).difference(known))
+        again = missing.intersection(self.older)
+        known.update((c, self.older[c]) for c in again)
+        new = list(missing - again)
+        known.update(zip(new, self.encode([" " + c for c in new])))
+        firsts = self.encode([first for first, *_ in split])
+        for start, (_, *rest) in zip(firsts, split):
+            yield b"".join([start, *map(known.__getitem__, rest)])
+        for c in new:
             if len(c) > LONGEST_CHUNK:
                 del known[c]
-        return found
+
+    def __call__(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of each text, in order."""
+        group, size = [], 0
+        for t in texts:
+            group.append(t)
+            size += len(t)
+            if size >= GROUP:
+                yield from self._group(group)
+                group, size = [], 0
+        yield from self._group(group)

@@ -18,6 +18,8 @@ from portolan.llm.ranks import number_within
 from portolan.sources.scratch import store
 
 BATCH_ROWS, BATCH_BYTES = 4096, 8 << 20
+# How byte-level vocabularies spell a space; chunks encoded in one line.
+_SPACE, _LINE = "\u0120", 256
 _encoders: dict[int, ChunkEncoder] = {}
 
 
@@ -31,8 +33,25 @@ def _encoder(vocabulary: bytes) -> ChunkEncoder:
         tokenizer = Tokenizer.from_buffer(vocabulary)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
-        def encode(chunks: list[str]) -> Iterator[bytes]:
-            return (np.array(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False))
+        spaced = np.array([(tokenizer.id_to_token(i) or "").startswith(_SPACE) for i in range(tokenizer.get_vocab_size())])
+
+        def ids_of(texts: list[str]) -> Iterator[np.ndarray]:
+            return (np.array(e.ids, dtype="<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+
+        def encode(chunks: list[str]) -> list[bytes]:
+            """Chunks that start with their only space are encoded in long lines and told
+            apart by the tokens that start with a space; the others one by one."""
+            lined = [i for i, c in enumerate(chunks) if c[:1] == " " and c.count(" ") == 1 and not c[-1].isspace()]
+            found: dict[int, bytes] = {}
+            runs = [lined[i : i + _LINE] for i in range(0, len(lined), _LINE)]
+            for run, ids in zip(runs, ids_of(["".join(chunks[i] for i in run) for run in runs])):
+                starts = (4 * np.flatnonzero(spaced[ids])).tolist()
+                if len(starts) == len(run):
+                    line = ids.tobytes()
+                    found.update((i, line[a:b]) for i, a, b in zip(run, starts, [*starts[1:], len(line)]))
+            others = [i for i in range(len(chunks)) if i not in found]
+            found.update(zip(others, (ids.tobytes() for ids in ids_of([chunks[i] for i in others]))))
+            return [found[i] for i in range(len(chunks))]
 
         _encoders.clear()
         _encoders[key] = ChunkEncoder(encode)
@@ -69,8 +88,8 @@ def token_pieces(
                     names=schema.names,
                 )
 
-            for row, text in enumerate(batch.column(1)):
-                whole = encode(text.as_py() or "") + tail
+            for row, encoded in enumerate(encode(t.as_py() or "" for t in batch.column(1))):
+                whole = encoded + tail
                 total = len(whole) // 4
                 ends = range(total % capacity or capacity, total + 1, capacity) if total > capacity else [total]
                 begin = 0

@@ -122,3 +122,126 @@ def join_centroids(centroids: np.ndarray) -> np.ndarray:
 def top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the ``k`` largest scores, ties to the smaller id."""
     return np.lexsort((ids, -scores))[:k]
+
+
+def _usable(docs: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """id and v (doubles) of the vectors that take part, stored."""
+    v = F.col(vector_col).cast("array<double>")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).filter(
+        F.col("id").isNotNull() & (F.size("v") > 0)
+        & ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+        & F.exists("v", lambda x: x != 0)
+    )
+    rows = store(rows, "vectors")
+    sizes = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
+    return rows.filter(F.size("v") == (sizes[0]["n"] if sizes else 0))
+
+
+def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+
+
+def fit_lists(rows: DataFrame) -> Lists | None:
+    """Centroids of a sample, with the home rows of each list counted over all ``rows``."""
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
+    about = rows.agg(F.count("*").alias("n"), F.max(length).alias("longest"), F.max(F.size("v")).alias("size")).first()
+    if not about["n"]:
+        return None
+    share = min(1.0, min(SAMPLE, CELLS // about["size"]) / about["n"])
+    drawn = rows.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)) + 1)).select("v").toArrow()
+    lists = Lists(np.empty(0), np.empty(0), about["longest"], np.zeros(1, dtype=int))
+    if len(drawn):
+        points = lists.lift(_matrix(drawn.column(0)))
+        lists.centroids = balanced_centroids(points, max(1, min(MOST_LISTS, about["n"] // LIST, len(points) // 8)))
+    else:
+        lists.centroids = np.zeros((1, about["size"] + 1))
+    lists.graph = join_centroids(lists.centroids)
+    return lists
+
+
+def nearest_neighbours(
+    docs: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding"
+) -> DataFrame:
+    """For each row of ``docs`` where ``queries`` holds, the ``k`` rows found with the largest
+    inner product: query_id, rank from 1, ``id_col`` and score.
+
+    Every usable vector is in the list of its nearest centroid, and near a boundary in
+    others too; lists are split into blocks of vectors by hash, so that one with many rows
+    is many tasks. Queries go to the lists that the centroid graph and the distance ratio
+    select, and are scored there in double precision on the original vectors. Ties go to
+    the smaller id; a row is no neighbour of its own id; rows with one id count once. Of
+    exact copies of a vector only the ``k`` + 1 smallest ids can be among the nearest, so
+    further ones are not carried. Vectors that are null, zero, of another length than most,
+    or hold nulls or non-finite numbers take no part, nor do null ids. ``queries`` may use
+    ``id``, the id as a long. Fewer than ``k`` candidates give as many rows.
+    """
+    spark = docs.sparkSession
+    rows = _usable(docs, id_col, vector_col)
+    lists = fit_lists(rows)
+    out = f"query_id long, rank int, {id_col} long, score double"
+    if lists is None:
+        return spark.createDataFrame([], out)
+    shared = spark.sparkContext.broadcast(lists)  # centroids and graph: MOST_LISTS rows
+    copies = Window.partitionBy(F.xxhash64("v"), "v").orderBy("id")
+    carried = rows.distinct().withColumn("_copy", F.row_number().over(copies)).filter(F.col("_copy") <= k + 1).select("id", "v")
+
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, number = shared.value.homes(_matrix(batch.column(1))) if batch.num_rows else (np.empty(0, int), np.empty(0, int))
+            first = np.r_[True, row[1:] != row[:-1]][: len(row)]
+            at = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(number, pa.int32()), pa.array(first), batch.column(0).take(at), batch.column(1).take(at)],
+                names=["list", "home", "id", "v"],
+            )
+
+    postings = store(carried.mapInArrow(post, "list int, home boolean, id long, v array<double>"), "postings")
+    counted = postings.groupBy("list").agg(F.count("*").alias("n"), F.sum(F.col("home").cast("long")).alias("homes")).collect()
+    sizes = np.zeros(len(lists.centroids), dtype=np.int64)
+    blocks = [1] * len(sizes)
+    for r in counted:
+        sizes[r["list"]], blocks[r["list"]] = r["homes"], -(-r["n"] // BLOCK)
+    chosen = spark.sparkContext.broadcast(Lists(lists.centroids, lists.graph, lists.longest, sizes))
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                found = list(chosen.value.nearest(_matrix(part.column(1)), k + 1))
+                at = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+                number = pa.array(np.concatenate(found), pa.int32())
+                yield pa.RecordBatch.from_arrays([number, part.column(0).take(at), part.column(1).take(at)], names=["list", "query_id", "q"])
+
+    asked = rows.filter(queries).distinct().mapInArrow(probe, "list int, query_id long, q array<double>")
+    in_list = F.element_at(F.lit(blocks), F.col("list") + 1)
+    # Queries of a list are cut too; there are as many cuts as the expected number asks for.
+    share = rows.filter(queries).count()
+    cuts = max(1, -(-share * min(BEAM, len(sizes)) // (len(sizes) * QUERY_BLOCK)))
+    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), in_list - 1))).withColumn("cut", F.pmod(F.xxhash64("query_id"), F.lit(cuts)))
+    held = postings.select("list", "id", "v").withColumn("block", F.pmod(F.xxhash64("id"), in_list.cast("long")).cast("int"))
+    held = held.withColumn("cut", F.explode(F.sequence(F.lit(0), F.lit(cuts - 1)))).withColumn("cut", F.col("cut").cast("long"))
+
+    def score(asked_rows: pa.Table, held_rows: pa.Table) -> pa.Table:
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        if asked_rows.num_rows and held_rows.num_rows:
+            points, ids = _matrix(held_rows.column("v")), held_rows.column("id").to_numpy()
+            asking, names = _matrix(asked_rows.column("q")), asked_rows.column("query_id").to_numpy()
+            for start in range(0, len(names), 256):
+                rough = asking[start : start + 256] @ points.T
+                for q, own, line in zip(asking[start : start + 256], names[start : start + 256], rough):
+                    line[ids == own] = -np.inf
+                    least = np.partition(line, -k)[-k] if len(line) > k else -np.inf
+                    # Product by product, so that equal vectors score the same wherever they are.
+                    at = np.flatnonzero((line >= least - 1e-9 * abs(least)) & (line > -np.inf))
+                    exact = (points[at] * q).sum(axis=1)
+                    best = top(exact, ids[at], k)
+                    found.append((np.full(len(best), own), ids[at][best], exact[best]))
+        columns = [np.concatenate(c) for c in zip(*found)] if found else [np.empty(0, np.int64)] * 2 + [np.empty(0)]
+        return pa.table(dict(zip(("query_id", "id", "score"), columns)))
+
+    keys = ["list", "block", "cut"]
+    scored = asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(score, "query_id long, id long, score double")
+    best = scored.groupBy("query_id", "id").agg(F.max("score").alias("score"))
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
+    return best.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id_col), "score")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portolan.checks.registry import Query, table
-from portolan.llm import byte_bpe, language, packing, page_text, quality_rules, secret_scan, sharding, simhash
+from portolan.llm import byte_bpe, language, neighbours, packing, page_text, quality_rules, secret_scan, sharding, simhash
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -118,3 +118,8 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
 def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     texts = page_text.extract_text(table(spark, folder, "pages"))
     return texts.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query()
+def op4_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest_neighbours(table(spark, folder, "embeddings"), F.col("id") % 20 == 0, k=20)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portolan.checks.registry import Query, table
-from portolan.llm import byte_bpe, language, neighbours, packing, page_text, quality_rules, secret_scan, sharding, simhash
+from portolan.llm import byte_bpe, language, neighbours, packing, page_text, quality_rules, secret_scan, sharding, simhash, site_quality
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -123,3 +123,8 @@ def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op4_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest_neighbours(table(spark, folder, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
+@query()
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return site_quality.classify_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from portolan.operators.lookup import lookup_join
 from portolan.sources.scratch import new_scratch_path, store
 
 
@@ -138,10 +139,12 @@ def find_secrets(
     Every path that ever held a content gets the content's findings; rows without any have
     an empty array. Columns of ``docs`` named ``spans`` or ``_blob`` are replaced.
     """
-    held = scan_versions(docs, text_col, rules, ledger)
+    held = store(scan_versions(docs, text_col, rules, ledger), "secret-spans")
     kept = [c for c in (keep or docs.columns) if c not in ("spans", "_blob")]
     rows = docs.select(*kept, blob_id(content(text_col)).alias("_blob"))
-    joined = rows.join(held.withColumnRenamed("blob", "_blob"), "_blob", "left")
+    # Few contents hold secrets: their spans are broadcast if measured to be small, and
+    # the documents then stay where they are.
+    joined = lookup_join(rows, held.withColumnRenamed("blob", "_blob"), ["_blob"], "left")
     return joined.select(*kept, F.coalesce("spans", F.lit([]).cast(f"array<{_FINDING}>")).alias("spans"))
 
 

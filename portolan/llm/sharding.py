@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from dataclasses import dataclass
+from heapq import nlargest
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -80,20 +81,33 @@ def smallest_capacity(line: Line, shards: int) -> tuple[int, int]:
     return low, lo
 
 
+def fair_share(sizes: list[int], shards: int) -> float:
+    """What each shard gets, apart from sizes beyond that, which take a shard each."""
+    rest, total = shards, sum(sizes)
+    for size in nlargest(shards - 1, sizes):
+        if size * rest <= total:
+            break
+        rest, total = rest - 1, total - size
+    return total / rest
+
+
 def even_cuts(line: Line, capacity: int, shards: int) -> tuple[list[int], set[str]]:
     """Places of the cuts, and buckets that must be opened before the cuts are final.
 
-    Each shard ends where it comes nearest to an even share of what is left, if what
+    Each shard ends where it comes nearest to a fair share of what is left, if what
     follows then still fits ``capacity``; else as late as the capacity allows.
     """
-    start, cuts, opened = 0, [], set()
+    start, cuts, last = 0, [], len(line.buckets)
+    share = fair_share([b.size for b in line.buckets], shards)
+    opened = {b.prefix for b in line.buckets if b.size > share and not b.single}
     for left in range(shards, 1, -1):
-        share = (line.total - line.ends[start]) / left
+        share = fair_share([b.size for b in line.buckets[start:]], left)
         below = line.reach(start, share)
-        opened |= line.open_between(line.ends[start] + share, line.ends[start] + share + 1e-9)
-        near = [c for c in (below, min(below + 1, len(line.buckets)))
-                if line.ends[c] - line.ends[start] <= capacity and line.fits(capacity, left - 1, c)]
-        start = min(near, key=lambda c: abs(line.ends[c] - line.ends[start] - share)) if near else line.reach(start, capacity)
+        target = line.ends[start] + share
+        opened |= line.open_between(target, target + 1e-9)
+        near = [c for c in (below, min(below + 1, last))
+                if c > start and line.ends[c] - line.ends[start] <= capacity and line.fits(capacity, left - 1, c)]
+        start = min(near, key=lambda c: abs(line.ends[c] - target)) if near else line.reach(start, capacity)
         cuts.append(start)
     return cuts, opened
 
@@ -142,7 +156,7 @@ def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", te
     Returns ``id_col``, size (UTF-8 bytes and one), text_crc32, shard and slot, a gapless
     number in the shard. Groups of equal texts are ordered by the SHA-256 of the text and
     cut into contiguous shards so that the largest shard is as small as that order allows;
-    among such cuts, each shard comes near an even share of the rest. A group larger than a
+    among such cuts, each shard comes near a fair share of the rest. A group larger than a
     share gets a shard of its own. Null counts as the empty text. Repeated rows are rows
     like any other. With fewer groups than shards some shards are empty; an empty table
     gives no rows. Columns other than the two named are not read.

@@ -208,12 +208,10 @@ def near_duplicates(
     rows = store(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     distinct = store(rows.groupBy("fingerprint").agg(F.min(id_col).alias("first")), "distinct-fingerprints")
     linked = store(link_fingerprints(distinct, bits), "linked-fingerprints")
-    members = linked.select(F.col("node").alias("fingerprint"), "root").join(distinct, "fingerprint")
-    firsts = members.groupBy("root").agg(F.min("first").alias("least"))
-    classes = (
-        distinct.join(linked.select(F.col("node").alias("fingerprint"), "root"), "fingerprint", "left")
-        .join(firsts, "root", "left")
-        .select("fingerprint", F.coalesce("least", "first").alias("component_id"))
+    linked = linked.select(F.col("node").alias("fingerprint"), "root")
+    firsts = linked.join(distinct, "fingerprint").groupBy("root").agg(F.min("first").alias("least"))
+    classes = distinct.join(linked.join(firsts, "root").drop("root"), "fingerprint", "left").select(
+        "fingerprint", F.coalesce("least", "first").alias("component_id")
     )
     return rows.join(store(classes, "fingerprint-classes"), "fingerprint").select(
         id_col, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"

@@ -111,8 +111,10 @@ class ByteBpe:
             at = ranks.argmin(axis=1) if ranks.shape[1] else np.zeros(len(rows), dtype=np.int64)
             least = ranks[np.arange(len(rows)), at] if ranks.shape[1] else np.full(len(rows), NONE)
             ended = least == NONE
-            for row, line in zip(rows[ended], ids[ended]):
-                out[row] = line[line >= 0].astype("<u4").tobytes()
+            held = ids[ended] >= 0
+            line, to = ids[ended][held].astype("<u4").tobytes(), (4 * np.cumsum(held.sum(axis=1))).tolist()
+            for row, a, b in zip(rows[ended].tolist(), [0, *to], to):
+                out[row] = line[a:b]
             if ended.all():
                 break
             on = ~ended

@@ -1,0 +1,105 @@
+"""The pipeline's stages against plain Python, and the entry points."""
+
+from __future__ import annotations
+
+import os
+
+import corpus_pipeline
+import pytest
+
+from portolan.llm import secret_scan, simhash
+from portolan.llm.queries import ORACLES, QUERIES
+from .test_secret_scan import plain
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    docs, out = spark.read.parquet(f"{FOLDER}/documents.parquet"), [spark.read.parquet(f"{FOLDER}/documents.parquet")]
+    for name, stage in corpus_pipeline.STAGES:
+        path = str(tmp_path_factory.mktemp("stage") / name)
+        stage(spark, docs, FOLDER).write.parquet(path)
+        docs = spark.read.parquet(path)
+        out.append(docs)
+    return [d.toPandas() for d in out]
+
+
+def test_columns_and_rows(stages):
+    assert len(corpus_pipeline.STAGES) == 5
+    for before, after in zip(stages, stages[1:-1]):
+        assert sorted(after.columns) == sorted(corpus_pipeline.COLUMNS)
+        assert set(after["doc_id"]) <= set(before["doc_id"]) and after["doc_id"].is_unique
+
+
+def test_clean_documents_stay(spark, stages):
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet").toPandas().set_index("doc_id")["quality"]
+    kept = set(stages[2]["doc_id"])
+    right = [(i in kept) == bool(q) for i, q in labels.items()]
+    assert sum(right) >= 0.97 * len(right)
+
+
+def test_one_of_each_group(stages):
+    before, after = stages[2], stages[3]
+    prints = {i: simhash.fingerprint(t) for i, t in zip(before["doc_id"], before["text"])}
+    root = {i: i for i in prints}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(prints)
+    for n, a in enumerate(ids):
+        for b in ids[:n]:
+            if (prints[a] ^ prints[b]).bit_count() <= 2:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    assert set(after["doc_id"]) == {find(i) for i in ids}
+
+
+def test_secrets_are_blotted_out(stages):
+    before, after = (s.set_index("doc_id").sort_index() for s in stages[3:5])
+    assert list(before.index) == list(after.index)
+    hit = [i for i in before.index if plain(before["text"][i])]
+    assert hit and all("[secret]" in after["text"][i] for i in hit)
+    assert all(before["text"][i] == after["text"][i] for i in before.index if i not in hit)
+    assert (after["n_chars"] == after["text"].str.len()).all()
+
+
+def test_packed(stages):
+    packed = stages[5]
+    assert set(packed["doc_id"]) == set(stages[4]["doc_id"])
+    assert packed.groupby("sequence_id")["length"].sum().max() <= 2048
+
+
+def test_odd_rows(spark, documents):
+    good = "These are words of a text. " * 10
+    rows = [(1, good, "en", "s"), (1, good, "en", "s"), (2, None, None, None), (3, "", "en", "s"), (None, good + "x", "en", None), (4, "y" * 200000, None, "s")]
+    docs = documents(rows)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, FOLDER) is not None
+    assert corpus_pipeline.one_of_each_group(spark, docs, FOLDER).filter("doc_id = 1").count() == 1
+    assert corpus_pipeline.without_secrets(spark, docs, FOLDER).count() == len(rows)
+    empty = documents([])
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, FOLDER).count() == 0
+
+
+def test_every_operator_has_a_query():
+    numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
+    assert numbers == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert "op9_secret_scans" in ORACLES and secret_scan.RULES
+    with open(os.path.join(os.path.dirname(corpus_pipeline.__file__), "__spark_entry__.py")) as f:
+        assert "corpus_pipeline" in f.read()
+
+
+def test_secrets_equal_sql(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{FOLDER}/documents.parquet')")
+    want = con.execute(ORACLES["op9_secret_scans"])
+    names = [d[0] for d in want.description]
+    got = QUERIES["op9_secret_scans"](spark, FOLDER).select(*names).collect()
+    assert sorted(map(tuple, got)) == sorted(want.fetchall())

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
 from portolan import schema
-from portolan.plans import Sources, build_star, record_losses
+from portolan.plans import Sources, build_star, record_losses, star
+from portolan.plans.job import read_star, rerun_months
 from portolan.sources import read_code_list, read_delimited, read_format_statement, read_parquet
 
 
@@ -33,7 +35,15 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--year", type=int, default=2016, help="year in which closed stays end")
     p.add_argument("--keep-unmatched", action="store_true", help="keep records without a flight")
     p.add_argument("--include-open", action="store_true", help="dates of open stays as well")
-    p.add_argument("--losses", action="store_true", help="count records that are left out")
+    p.add_argument("--losses", action="store_true", help="count records and values that are left out")
+    p.add_argument("--climate-since", type=dt.date.fromisoformat, default=dt.date(2000, 1, 1), help="first day of readings")
+    p.add_argument("--keep-zero", nargs="*", default=(), help="fact columns in which 0 is a value")
+    p.add_argument("--zero-is-value", action="store_true", help="0 is a value in all fact columns")
+    p.add_argument("--exclude-airports", nargs="*", default=star.SHARED_AIRPORT_CODES, help="airport codes left out")
+    p.add_argument("--airport-id", default="ident", choices=("ident", "iata_code"), help="primary key of airports")
+    p.add_argument("--longitude-first", action="store_true", help="airport coordinates are longitude, latitude")
+    p.add_argument("--exact-countries", action="store_true", help="match country names with their blanks")
+    p.add_argument("--rerun", action="store_true", help="replace only the months in --records; the airlines are read from --output")
     a = p.parse_args(argv)
 
     spark = SparkSession.builder.appName("portolan").getOrCreate()
@@ -47,17 +57,31 @@ def main(argv: list[str] | None = None) -> None:
         ),
         ports=_code_list(spark, a.ports, a.port_statement, "code", "port_name", "string"),
     )
-    tables = build_star(
-        spark,
-        sources,
-        a.output,
-        a.year,
-        keep_unmatched=a.keep_unmatched,
-        include_open=a.include_open,
-    )
+    fact_options = {"zero_is_null": not a.zero_is_value, "keep_zero": a.keep_zero, "keep_unmatched": a.keep_unmatched}
+    if a.rerun:
+        airlines = read_star(spark, a.output)["airlines_dm"]
+        tables = {"immigration_ft": rerun_months(sources.records, airlines, a.output, a.year, **fact_options)}
+    else:
+        tables = build_star(
+            spark,
+            sources,
+            a.output,
+            a.year,
+            a.climate_since,
+            include_open=a.include_open,
+            excluded_airports=a.exclude_airports,
+            airport_id=a.airport_id,
+            latitude_part=int(a.longitude_first),
+            longitude_part=int(not a.longitude_first),
+            exact_countries=a.exact_countries,
+            **fact_options,
+        )
     if a.losses:
         for row in record_losses(sources.records, a.year).collect():
             print(f"{row['reason']}: {row['rows']} records")
+        texts = {"airports": sources.airports, "temperatures": sources.temperatures, "cities": sources.cities}
+        for row in star.source_rejects(texts).collect():
+            print(f"{row['source']}.{row['column']} does not fit {row['type']}: {row['rejected']} values")
     for name, table in tables.items():
         print(f"{name}: {table.count()} rows")
 

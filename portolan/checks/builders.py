@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from portolan.checks.registry import query, table
+from portolan.checks.registry import ORACLES, query, table
 from portolan.functions.dates import MONTHS, date_to_serial_day
+from portolan.operators.quality import REPORTED
 from portolan.plans import star
 from portolan.plans.analyses import destination_profile, travel_patterns
+from portolan.plans.job import Sources, build_star, check_star
+from portolan.sources import new_scratch_path
 
 YEAR = 1998
 
@@ -35,6 +38,9 @@ def records(spark: SparkSession, folder: str) -> DataFrame:
         (line % 4).cast("double").alias("i94mode"),
         F.when(part % 5 == 0, "CA").when(part % 5 == 1, "TX").otherwise("ZZ").alias("i94addr"),
         F.when(F.col("l_returnflag") == "N", F.lit(None))
+        # None of these is a day, so that all of them are open stays.
+        .when((F.col("l_returnflag") == "R") & (part % 3 == 0), F.lit(float("nan")))
+        .when((F.col("l_returnflag") == "R") & (part % 3 == 1), F.lit(1e12))
         .when(F.col("l_returnflag") == "R", F.lit(0.0))
         .otherwise(departed + 0.25)
         .alias("depdate"),
@@ -91,6 +97,14 @@ _FACT = f"""
 """
 
 
+# Which of the broken records below do not fit, by target column.
+_UNFIT = {
+    "age": "l_quantity = 50",
+    "city_code": "l_suppkey % 30 = 3",
+    "admission_number": "(90000000000 + l_orderkey) % 7 = 0",
+}
+
+
 def _fact(spark: SparkSession, folder: str) -> DataFrame:
     raw = records(spark, folder)
     return star.immigration_fact(raw, star.airlines_dimension(raw), YEAR)
@@ -102,12 +116,20 @@ def _fact(spark: SparkSession, folder: str) -> DataFrame:
     SELECT 'no airline or flight number' AS reason, count(*) AS "rows" FROM r WHERE airline IS NULL OR fltno IS NULL
     UNION ALL SELECT 'stay ends outside the year', count(*) FROM r WHERE l_returnflag = 'A' AND year(dep) <> {YEAR}
     UNION ALL SELECT 'stay ends before it starts', count(*) FROM r WHERE l_returnflag = 'A' AND dep < arr
-    UNION ALL SELECT reason, 0 FROM (VALUES {", ".join(
-        f"('{n} does not fit {'bigint' if n == 'admission_number' else 'int'}')" for n in star.FACT_NUMBERS)}) v(reason)
+    UNION ALL {" UNION ALL ".join(
+        f"SELECT '{n} does not fit {'bigint' if n == 'admission_number' else 'int'}',"
+        f" count(*) FILTER (WHERE {_UNFIT.get(n, 'false')}) FROM r" for n in star.FACT_NUMBERS)}
     """
 )
 def count_record_losses(spark: SparkSession, folder: str) -> DataFrame:
-    return star.record_losses(records(spark, folder), YEAR)
+    """With ages, cities and admission numbers that do not fit their types."""
+    raw = records(spark, folder)
+    broken = {
+        "i94bir": F.when(F.col("i94bir") == 49, F.lit(1e12)).otherwise(F.col("i94bir")),
+        "i94cit": F.when(F.col("i94cit") == 3, F.lit(float("nan"))).otherwise(F.col("i94cit")),
+        "admnum": F.when(F.col("admnum") % 7 == 0, F.lit(1e30)).otherwise(F.col("admnum")),
+    }
+    return star.record_losses(raw.withColumns(broken), YEAR)
 
 
 @query(f"WITH {_RECORDS} SELECT * FROM flights")
@@ -138,6 +160,26 @@ def build_dates(spark: SparkSession, folder: str) -> DataFrame:
     return dates.withColumn("date_date", _text(F.col("date_date")))
 
 
+def _airports(spark: SparkSession, folder: str) -> DataFrame:
+    size, key = F.col("p_size"), F.col("p_partkey")
+    return table(spark, folder, "part").select(
+        F.concat(F.lit("ID"), _text(key)).alias("ident"),
+        F.when(size == 50, F.lit(None))
+        .when(F.col("p_type") == "PROMO", "closed")
+        .otherwise(F.col("p_type"))
+        .alias("type"),
+        F.col("p_name").alias("name"),
+        _text(size).alias("elevation_ft"),
+        F.lit("NA").alias("continent"),
+        F.lit("US").alias("iso_country"),
+        F.concat(F.lit("US-"), _text(size)).alias("iso_region"),
+        F.col("p_brand").alias("municipality"),
+        F.lit(None).cast("string").alias("gps_code"),
+        F.when(size != 9, _text(key % 150)).alias("iata_code"),
+        F.concat(_text(size), F.lit(".25, -"), _text(key % 180), F.lit(".5")).alias("coordinates"),
+    )
+
+
 @query(
     """
     WITH raw AS (
@@ -155,24 +197,29 @@ def build_dates(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def build_airports(spark: SparkSession, folder: str) -> DataFrame:
-    size, key = F.col("p_size"), F.col("p_partkey")
-    airports = table(spark, folder, "part").select(
-        F.concat(F.lit("ID"), _text(key)).alias("ident"),
-        F.when(size == 50, F.lit(None))
-        .when(F.col("p_type") == "PROMO", "closed")
-        .otherwise(F.col("p_type"))
-        .alias("type"),
-        F.col("p_name").alias("name"),
-        _text(size).alias("elevation_ft"),
-        F.lit("NA").alias("continent"),
-        F.lit("US").alias("iso_country"),
-        F.concat(F.lit("US-"), _text(size)).alias("iso_region"),
-        F.col("p_brand").alias("municipality"),
-        F.lit(None).cast("string").alias("gps_code"),
-        F.when(size != 9, _text(key % 150)).alias("iata_code"),
-        F.concat(_text(size), F.lit(".25, -"), _text(key % 180), F.lit(".5")).alias("coordinates"),
+    return star.airports_dimension(_airports(spark, folder), excluded=("11", "12"))
+
+
+def _temperatures(spark: SparkSession, folder: str) -> DataFrame:
+    customer = F.col("o_custkey")
+    country = F.when(customer % 30 == 5, "elsewhere").otherwise(
+        F.concat(F.lit("Nation_"), _text(customer % 30))
+    )
+    price = _text(F.floor("o_totalprice"))
+    return table(spark, folder, "orders").select(
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("dt"),
+        F.when(F.col("o_orderkey") % 13 != 0, price).alias("AverageTemperature"),
+        country.alias("Country"),
+        F.concat(_text(customer % 80), F.lit(".5N")).alias("Latitude"),
+        F.concat(_text(customer % 170), F.lit(".5W")).alias("Longitude"),
+    )
+
+
+def _countries(spark: SparkSession, folder: str) -> DataFrame:
+    blank = F.when(F.col("n_nationkey") % 2 == 0, " ").otherwise("")
+    return table(spark, folder, "nation").select(
+        F.col("n_nationkey").alias("cit_res_code"), F.concat("n_name", blank).alias("cit_res_name")
     )
-    return star.airports_dimension(airports, excluded=("11", "12"))
 
 
 @query(
@@ -193,28 +240,31 @@ def build_airports(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def build_regions(spark: SparkSession, folder: str) -> DataFrame:
-    customer = F.col("o_custkey")
-    country = F.when(customer % 30 == 5, "elsewhere").otherwise(
-        F.concat(F.lit("Nation_"), _text(customer % 30))
-    )
-    price = _text(F.floor("o_totalprice"))
-    temperatures = table(spark, folder, "orders").select(
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("dt"),
-        F.when(F.col("o_orderkey") % 13 != 0, price).alias("AverageTemperature"),
-        country.alias("Country"),
-        F.concat(_text(customer % 80), F.lit(".5N")).alias("Latitude"),
-        F.concat(_text(customer % 170), F.lit(".5W")).alias("Longitude"),
-    )
-    blank = F.when(F.col("n_nationkey") % 2 == 0, " ").otherwise("")
-    countries = table(spark, folder, "nation").select(
-        F.col("n_nationkey").alias("cit_res_code"), F.concat("n_name", blank).alias("cit_res_name")
-    )
-    return star.regions_dimension(temperatures, countries)
+    return star.regions_dimension(_temperatures(spark, folder), _countries(spark, folder))
 
 
 _RACES = tuple(star.RACE_COLUMNS)
 
 
+def _cities(spark: SparkSession, folder: str) -> DataFrame:
+    quantity, line = F.col("l_quantity").cast("int"), F.col("l_linenumber")
+    race = F.element_at(F.array(*[F.lit(r) for r in (*_RACES, "Not listed")]), line % 6 + 1)
+    return table(spark, folder, "lineitem").select(
+        F.concat(F.lit("City "), _text(F.col("l_partkey") % 7)).alias("City"),
+        F.concat(F.lit("State "), _text(F.col("l_suppkey"))).alias("State"),
+        F.concat(F.lit("S"), _text(F.col("l_suppkey"))).alias("State Code"),
+        _text(quantity).alias("Median Age"),
+        _text(quantity * 10 + line).alias("Male Population"),
+        _text(quantity * 20 + line).alias("Female Population"),
+        _text(quantity * 30 + line * 2).alias("Total Population"),
+        _text(line).alias("Number of Veterans"),
+        F.when(line != 3, _text(quantity)).otherwise("").alias("Foreign-born"),
+        _text(line).alias("Average Household Size"),
+        race.alias("Race"),
+        _text(quantity * 3 + line).alias("Count"),
+    )
+
+
 @query(
     f"""
     WITH raw AS (
@@ -240,23 +290,14 @@ _RACES = tuple(star.RACE_COLUMNS)
     """
 )
 def build_demographics(spark: SparkSession, folder: str) -> DataFrame:
-    quantity, line = F.col("l_quantity").cast("int"), F.col("l_linenumber")
-    race = F.element_at(F.array(*[F.lit(r) for r in (*_RACES, "Not listed")]), line % 6 + 1)
-    cities = table(spark, folder, "lineitem").select(
-        F.concat(F.lit("City "), _text(F.col("l_partkey") % 7)).alias("City"),
-        F.concat(F.lit("State "), _text(F.col("l_suppkey"))).alias("State"),
-        F.concat(F.lit("S"), _text(F.col("l_suppkey"))).alias("State Code"),
-        _text(quantity).alias("Median Age"),
-        _text(quantity * 10 + line).alias("Male Population"),
-        _text(quantity * 20 + line).alias("Female Population"),
-        _text(quantity * 30 + line * 2).alias("Total Population"),
-        _text(line).alias("Number of Veterans"),
-        F.when(line != 3, _text(quantity)).otherwise("").alias("Foreign-born"),
-        _text(line).alias("Average Household Size"),
-        race.alias("Race"),
-        _text(quantity * 3 + line).alias("Count"),
+    return star.demographics_dimension(_cities(spark, folder))
+
+
+def _ports(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "supplier").select(
+        F.concat(F.lit("P"), _text(F.col("s_suppkey"))).alias("code"),
+        F.concat(F.lit(" "), F.col("s_name"), F.lit("      ")).alias("port_name"),
     )
-    return star.demographics_dimension(cities)
 
 
 @query(
@@ -265,11 +306,7 @@ def build_demographics(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def build_ports(spark: SparkSession, folder: str) -> DataFrame:
-    ports = table(spark, folder, "supplier").select(
-        F.concat(F.lit("P"), _text(F.col("s_suppkey"))).alias("code"),
-        F.concat(F.lit(" "), F.col("s_name"), F.lit("      ")).alias("port_name"),
-    )
-    return star.ports_dimension(ports)
+    return star.ports_dimension(_ports(spark, folder))
 
 
 @query(
@@ -354,3 +391,103 @@ def analyse_destinations(spark: SparkSession, folder: str) -> DataFrame:
         )
     )
     return destination_profile(_fact(spark, folder), demographics)
+
+
+_DAYS = """SELECT CAST(d AS VARCHAR) AS date_date, CAST(day(d) AS INTEGER) AS day,
+           CAST(weekofyear(d) AS INTEGER) AS week, CAST(month(d) AS INTEGER) AS month,
+           strftime(d, '%B') AS month_name, CAST(year(d) AS INTEGER) AS year,
+           CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week, strftime(d, '%a') AS day_of_week_name FROM days"""
+
+
+@query(
+    f"""
+    WITH {_FACT},
+    days AS (SELECT CAST(arr_date AS DATE) AS d FROM fact
+             UNION SELECT CAST(dept_date AS DATE) FROM fact WHERE dept_date IS NOT NULL)
+    {_DAYS}
+    """
+)
+def build_dates_with_open_stays(spark: SparkSession, folder: str) -> DataFrame:
+    dates = star.dates_dimension(_fact(spark, folder), include_open=True)
+    return dates.withColumn("date_date", _text(F.col("date_date")))
+
+
+@query(
+    f"""
+    WITH {_RECORDS}
+    SELECT CAST(cicid AS INTEGER) AS cicid, CAST(l_suppkey % 30 AS INTEGER) AS city_code,
+           CAST(NULLIF(l_partkey % 30, 0) AS INTEGER) AS res_code, CAST(l_linenumber % 4 AS INTEGER) AS mode, flight_id
+    FROM r LEFT JOIN flights ON airline = airline_code AND fltno = flight_number
+    WHERE l_returnflag <> 'A' OR (year(dep) = {YEAR} AND dep >= arr)
+    """
+)
+def build_fact_keeping_zero(spark: SparkSession, folder: str) -> DataFrame:
+    """Zero as a value in some columns, and records without a flight kept."""
+    raw = records(spark, folder)
+    fact = star.immigration_fact(
+        raw, star.airlines_dimension(raw), YEAR, keep_zero=("city_code", "mode"), keep_unmatched=True
+    )
+    return fact.select("cicid", "city_code", "res_code", "mode", "flight_id")
+
+
+@query(
+    """
+    SELECT 'temperatures' AS source, 'dt' AS "column", 'date' AS "type", count(*) FILTER (WHERE o_orderkey % 11 = 0) AS rejected FROM orders
+    UNION ALL SELECT 'temperatures', 'AverageTemperature', 'double', count(*) FILTER (WHERE o_orderkey % 17 = 0) FROM orders
+    UNION ALL SELECT 'cities', name, CASE WHEN name IN ('Median Age', 'Average Household Size') THEN 'double' ELSE 'int' END,
+        CASE name WHEN 'Count' THEN (SELECT count(*) FROM lineitem WHERE l_orderkey % 5 = 0) ELSE 0 END
+        FROM (VALUES ('Median Age'), ('Male Population'), ('Female Population'), ('Total Population'), ('Number of Veterans'),
+                     ('Foreign-born'), ('Average Household Size'), ('Count')) v(name)
+    """
+)
+def count_source_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Malformed text among temperatures and cities."""
+    key = F.col("o_orderkey")
+    temperatures = table(spark, folder, "orders").select(
+        F.when(key % 11 == 0, "1999-13-45").otherwise("1999-12-31").alias("dt"),
+        F.when(key % 17 == 0, "warm").when(key % 17 == 1, " ").otherwise("12.5").alias("AverageTemperature"),
+    )
+    return star.source_rejects({"temperatures": temperatures, "cities": _odd_cities(spark, folder)})
+
+
+def _odd_cities(spark: SparkSession, folder: str) -> DataFrame:
+    number = _text(F.col("l_linenumber"))
+    names = [c for c in star.SOURCE_CASTS["cities"] if c != "Count"]
+    count = F.when(F.col("l_orderkey") % 5 == 0, F.concat(number, F.lit(" people"))).otherwise(number)
+    return table(spark, folder, "lineitem").select(*[number.alias(c) for c in names], count.alias("Count"))
+
+
+# Some line items share their number; the job's gates ask for one record each.
+_ONCE = "FROM (SELECT * FROM lineitem QUALIFY count(*) OVER (PARTITION BY l_orderkey, l_linenumber) = 1))"
+
+
+def _rows(name: str, build: str) -> str:
+    sql = ORACLES[build].replace("*\n        FROM lineitem)", f"* {_ONCE}")
+    return f"SELECT '{name}' AS \"table\", CAST(0 AS BIGINT) AS failed, count(*) AS \"rows\" FROM ({sql})"
+
+
+@query(
+    " UNION ALL ".join(
+        _rows(name, build)
+        for name, build in {
+            "airlines_dm": "build_airlines", "immigration_ft": "build_immigration_fact", "airports_dm": "build_airports",
+            "immi_dates_dm": "build_dates", "regions_dm": "build_regions", "demographics_dm": "build_demographics", "ports_dm": "build_ports",
+        }.items()
+    )
+    + " UNION ALL SELECT 'visas_dm', 0, 3 UNION ALL SELECT 'modes_dm', 0, 4"
+)
+def whole_job(spark: SparkSession, folder: str) -> DataFrame:
+    """All nine tables built, gated and written, then gated again as they were read back."""
+    raw = records(spark, folder)
+    once = raw.withColumn("_n", F.count("*").over(Window.partitionBy("cicid"))).filter("_n = 1").drop("_n")
+    sources = Sources(
+        once, _airports(spark, folder), _temperatures(spark, folder), _cities(spark, folder),
+        _countries(spark, folder), _ports(spark, folder),
+    )
+    tables = build_star(
+        spark, sources, new_scratch_path(spark, "star"), YEAR, excluded_airports=("11", "12")
+    )
+    return check_star(tables).filter(F.col("check") != REPORTED).groupBy("table").agg(
+        F.count_if(~F.col("passed")).alias("failed"),
+        F.max(F.when(F.col("check") == "has_rows", F.col("observed"))).alias("rows"),
+    )

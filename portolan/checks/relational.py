@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from portolan.checks.registry import query, table
+from portolan.functions.dates import MONTHS
 from portolan.functions import place_key, season_of_month, split_pick, to_number, trimmed
 from portolan.operators import (
     Expectations,
@@ -45,6 +46,7 @@ from portolan.operators import (
 from portolan.sources import (
     materialize_if_missing,
     new_scratch_path,
+    read_code_list,
     read_delimited,
     write_partitioned,
 )
@@ -189,7 +191,7 @@ def interval_sanity_filter(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"
     )
     return (
-        lookup_join(lines, orders, ["l_orderkey"])
+        lines.join(orders, "l_orderkey")
         .filter(open_or_ordered(started, ended))
         .select(
             "l_orderkey",
@@ -239,9 +241,7 @@ def sql_view_union(spark: SparkSession, folder: str) -> DataFrame:
     return spark.sql(f"SELECT CAST(date_date AS STRING) AS date_date FROM {view}")
 
 
-_MONTHS = (
-    "january february march april may june july august september october november december"
-).split()
+_MONTHS = [name.lower() for name in MONTHS]
 
 
 @query(
@@ -304,12 +304,11 @@ def dedupe_mixed_agg(spark: SparkSession, folder: str) -> DataFrame:
 )
 def category_pivot_sum(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem")
-    totals = mixed_rollup(
-        lines, ["l_suppkey"], sums={"quantity": "l_quantity", "line_numbers": "l_linenumber"}
-    )
     names = {"A": "accepted", "N": "not_returned", "R": "returned"}
-    flags = category_pivot(lines, ["l_suppkey"], "l_returnflag", names, F.col("l_quantity"))
-    return totals.join(flags, "l_suppkey")
+    by_flag = {name: F.when(F.col("l_returnflag") == flag, F.col("l_quantity")) for flag, name in names.items()}
+    return mixed_rollup(
+        lines, ["l_suppkey"], sums={"quantity": "l_quantity", "line_numbers": "l_linenumber", **by_flag}
+    )
 
 
 @query(
@@ -416,7 +415,7 @@ def year_pair_counts(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"
     )
-    joined = lookup_join(lines, orders, ["l_orderkey"])
+    joined = lines.join(orders, "l_orderkey")
     return year_pair_histogram(joined, "l_shipdate", "o_orderdate")
 
 
@@ -627,3 +626,57 @@ def star_join_analysis(spark: SparkSession, folder: str) -> DataFrame:
             (F.sum("revenue") / 10000).cast("double").alias("revenue"),
         )
     )
+
+
+@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+def csv_folder_of_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Several files with one header each, read as one table."""
+    path = new_scratch_path(spark, "orders-csv")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    orders.repartition(4).write.csv(path, header=True)
+    return read_delimited(spark, path, required=["o_totalprice"]).select(
+        to_number("o_orderkey", "bigint").alias("o_orderkey"), "o_orderstatus", to_number("o_totalprice").alias("o_totalprice")
+    )
+
+
+@query("SELECT CAST(n_nationkey AS INTEGER) AS code, n_name || ' ' AS name FROM nation")
+def code_list_from_text(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_scratch_path(spark, "nation-list")
+    padded = F.concat("n_name", F.lit(" ")).alias("label")
+    table(spark, folder, "nation").select(F.col("n_nationkey").alias("value"), padded).write.csv(
+        path, header=True, ignoreTrailingWhiteSpace=False
+    )
+    return read_code_list(spark, path, "code", "name", "int")
+
+
+@query(
+    """
+    WITH t AS (
+        SELECT CASE p_partkey % 7 WHEN 0 THEN chr(9) || '12' WHEN 1 THEN 'word' WHEN 2 THEN '+3.5' WHEN 3 THEN '-2'
+                                  WHEN 4 THEN '.25' WHEN 5 THEN '1e3' END AS text,
+               CASE p_partkey % 7 WHEN 0 THEN 12 WHEN 2 THEN 3.5 WHEN 3 THEN -2 WHEN 4 THEN 0.25 WHEN 5 THEN 1000 END AS number
+        FROM part)
+    SELECT count(text) AS count, CAST(avg(CAST(number AS DOUBLE)) AS DOUBLE) AS mean, min(text) AS min, max(text) AS max FROM t
+    """
+)
+def summary_of_text_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """Numbers among text, in every spelling that a cast takes."""
+    spelt = F.element_at(F.array(*[F.lit(v) for v in ("\t12", "word", "+3.5", "-2", ".25", "1e3", None)]), (F.col("p_partkey") % 7 + 1).cast("int"))
+    return column_summary(table(spark, folder, "part").select(spelt.alias("text"))).select("count", "mean", "min", "max")
+
+
+@query(
+    """
+    SELECT l_orderkey, l_linenumber, p_brand
+    FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_partkey END AS k FROM lineitem)
+    LEFT JOIN part ON p_partkey = k
+    """
+)
+def lookup_join_frequent_key(spark: SparkSession, folder: str) -> DataFrame:
+    """A lookup beyond the broadcast bound, with a third of the facts on one key."""
+    lines = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_orderkey") % 3 == 0, F.lit(1).cast("bigint")).otherwise(F.col("l_partkey").cast("bigint")).alias("k"),
+    )
+    parts = table(spark, folder, "part").select(F.col("p_partkey").cast("bigint").alias("k"), "p_brand")
+    return lookup_join(lines, parts, ["k"], "left", max_broadcast_bytes=0).drop("k")

@@ -16,20 +16,15 @@ _FIELD_BYTES = 8
 def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
     """Whether ``df`` takes no more than ``max_bytes`` as rows in memory.
 
-    The rows are counted first, which for stored Parquet reads footers only; the text is
-    measured only if the count leaves room for it.
+    Rows and text are measured in one aggregation.
     """
     row_bytes = _ROW_BYTES + _FIELD_BYTES * len(df.columns)
-    used = df.count() * row_bytes
-    if used > max_bytes:
-        return False
-    sizes = []
+    sizes = [F.count("*") * row_bytes]
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
             sizes.append(F.sum(F.octet_length(F.to_json(c))))
         elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
             sizes.append(F.sum(F.octet_length(c)))
-    if sizes:
-        used += sum(n or 0 for n in df.agg(*[s.alias(f"s{i}") for i, s in enumerate(sizes)]).first())
-    return used <= max_bytes
+    measured = df.agg(*[s.alias(f"s{i}") for i, s in enumerate(sizes)]).first()
+    return sum(n or 0 for n in measured) <= max_bytes

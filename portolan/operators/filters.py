@@ -12,10 +12,6 @@ from portolan.functions._columns import ColumnLike, as_column
 from portolan.functions.dates import serial_of
 from portolan.operators.lookup import lookup_join
 
-# Above this many values an exclude list belongs in a table.
-MAX_INLINE_VALUES = 1000
-
-
 def recorded_and_not(df: DataFrame, unwanted: dict[str, object]) -> DataFrame:
     """Rows where every named column is recorded and differs from the unwanted value."""
     for name, value in unwanted.items():
@@ -32,8 +28,6 @@ def exclude_values(df: DataFrame, column: str, values: Sequence[object] | DataFr
     if isinstance(values, DataFrame):
         listed = values.select(F.col(values.columns[0]).alias(column)).distinct()
         return lookup_join(recorded, listed, [column], "left_anti")
-    if len(values) > MAX_INLINE_VALUES:
-        raise ValueError("pass long exclude lists as a DataFrame")
     return recorded.filter(~F.col(column).isin(list(values)))
 
 
@@ -45,16 +39,19 @@ def open_or_within_year(end: ColumnLike, year: int) -> Column:
 
 
 def serial_open_or_within_year(serial: ColumnLike, year: int) -> Column:
-    """:func:`open_or_within_year` on raw serial days, where 0 and below mean "open".
+    """:func:`open_or_within_year` on raw serial days.
+
+    What has no date is open: null, 0 and below, NaN, and days past the integers.
 
     Parquet row groups are skipped on this one, since it tests the stored column.
     """
     c = as_column(serial)
     first, after = serial_of(dt.date(year, 1, 1)), serial_of(dt.date(year + 1, 1, 1))
     return (
-        c.isNull()
+        ((c >= F.lit(float(first))) & (c < F.lit(float(after))))
+        | c.isNull()
         | (c <= F.lit(0.0))
-        | ((c >= F.lit(float(first))) & (c < F.lit(float(after))))
+        | (c >= F.lit(2147483648.0))  # NaN is greater than every number
     )
 
 

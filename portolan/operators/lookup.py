@@ -30,8 +30,10 @@ def lookup_join(
     ``how`` is inner, left, left_semi or left_anti. A lookup measured to be small
     is broadcast, and ``facts`` is not shuffled. For a larger one the frequent keys of
     ``facts`` are found first; their rows, and rows with a null key, are joined to a
-    broadcast of just those keys' lookup rows, and the rest by a shuffle join in which
-    no key is frequent. The two parts are disjoint and make up the whole join.
+    broadcast of just those keys' lookup rows, and the rest by a shuffle join without
+    those keys. The two parts are disjoint and make up the whole join. If the lookup
+    repeats a frequent key so often that its rows are too large to broadcast, the whole
+    join is a shuffle join, whose partitions adaptive execution splits.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -49,6 +51,8 @@ def lookup_join(
     is_hot = _hash_among(on, hot)
     apart = is_hot | any_null(on) if keeps_unmatched else is_hot
     hot_lookup = lookup.filter(is_hot)
+    if hot and not fits_broadcast(hot_lookup, max(max_broadcast_bytes, MAX_BROADCAST_BYTES)):
+        return facts.join(lookup, on, how)
     return (
         facts.filter(apart).join(F.broadcast(hot_lookup), on, how)
         .unionByName(facts.filter(~apart).join(lookup, on, how))

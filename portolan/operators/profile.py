@@ -9,20 +9,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Characters of a SHA-256 digest.
+_DIGEST = 64
+
+
 def _rows_from(totals: DataFrame, rows: Sequence[Mapping[str, Column]]) -> DataFrame:
     """Turn the single row of ``totals`` into one row per mapping."""
     structs = [F.struct(*[c.alias(n) for n, c in row.items()]) for row in rows]
     return totals.select(F.inline(F.array(*structs)))
 
 
-def table_profile(df: DataFrame) -> DataFrame:
+def table_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per column: type, rows, nulls and exact number of distinct values.
 
     Null counts as one distinct value. Values are counted as (column, text) pairs, which
-    keeps the shuffled rows narrow however many columns there are; each task first
-    counts its own pairs, so a frequent value is one row per task.
+    keeps the shuffled rows narrow however many columns there are: text longer than its
+    digest is counted by its digest. Each task first counts its own pairs, so a frequent
+    value is one row per task.
     """
-    fields = df.schema.fields
+    fields = [f for f in df.schema.fields if columns is None or f.name in columns]
     pairs = [
         F.struct(F.lit(i).alias("i"), _as_text(f).alias("value")) for i, f in enumerate(fields)
     ]
@@ -43,13 +48,19 @@ def table_profile(df: DataFrame) -> DataFrame:
 
 
 def _as_text(field: T.StructField) -> Column:
-    """Text that differs for different values."""
+    """Short text that differs for different values."""
     c = F.col(f"`{field.name}`")
     if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-        return F.to_json(c)
-    if isinstance(field.dataType, T.BinaryType):
-        return F.hex(c)
-    return c.cast("string")
+        text = F.to_json(c)
+    elif isinstance(field.dataType, T.BinaryType):
+        text = F.hex(c)
+    elif isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+        return (c + F.lit(0.0)).cast("string")  # 0.0 and -0.0 are one value
+    elif isinstance(field.dataType, T.StringType):
+        text = c
+    else:
+        return c.cast("string")
+    return F.when(F.octet_length(text) > _DIGEST, F.sha2(text.cast("binary"), 256)).otherwise(text)
 
 
 def column_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -63,9 +74,7 @@ def column_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     for i, f in enumerate(wanted):
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.StringType):
-            # A failed cast is costly, and most text that is no number starts with a letter.
-            first = F.substring(F.ltrim(c), 1, 1)
-            n = F.when(first.isin(*"+-.0123456789"), c.try_cast("double"))
+            n = c.try_cast("double")
         elif isinstance(f.dataType, T.NumericType):
             n = c.cast("double")
         else:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from portolan.functions import season_of_month
 from portolan.operators import valid_or_other
+from portolan.operators.lookup import lookup_join
 from portolan.sources import STATE_CODES
 
 
@@ -28,15 +29,11 @@ def travel_patterns(
     counted = _of_year(fact, year).groupBy(
         "mode", "visa_code", "res_code", F.month("arr_date").alias("month")
     ).agg(F.count("*").alias("travellers"))
-    named = (
-        counted.join(modes.withColumnRenamed("code", "mode"), "mode", "left")
-        .join(visas.withColumnRenamed("code", "visa_code"), "visa_code", "left")
-        .join(
-            regions.select(F.col("cit_res_code").alias("res_code"), "cit_res_name"),
-            "res_code",
-            "left",
-        )
-    )
+    named = counted
+    for key, names, code in (("mode", modes, "code"), ("visa_code", visas, "code"), ("res_code", regions, "cit_res_code")):
+        label = "cit_res_name" if names is regions else [c for c in names.columns if c != code][0]
+        listed = names.select(F.col(code).cast(counted.schema[key].dataType).alias(key), label)
+        named = lookup_join(named, listed, [key], "left")
     return named.groupBy(
         "travel_mode",
         "travel_purpose",

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from portolan import schema
-from portolan.operators import QualityError, enforce, match_counts, run_checks, run_suite
+from portolan.operators import QualityError, enforce, run_checks, run_suite
 from portolan.plans import star
 from portolan.schema import TableSpec
 from portolan.sources import read_parquet, write_partitioned, write_table
+from portolan.sources.folders import remove_folder, replace_folder, replace_partitions
 
 
 @dataclass(frozen=True)
@@ -37,34 +38,36 @@ def publish(
 ) -> DataFrame:
     """Gate ``df``, write it under ``root`` and return the written table.
 
-    A failed gate raises before anything is written. ``keep`` holds a table in memory
+    A failed gate raises before anything is written. The rows are written beside the live
+    table, compared with the source by count, and only then take its place, so that a
+    failed write leaves the old table as it was. ``keep`` holds a table in memory
     and on disk between gate and write; without it the gate is a second, column-pruned
     read of the sources, which is cheaper for a table as large as its source.
     ``only_present`` replaces just the partitions that occur in ``df``: to rerun one
     month, build its fact rows against the full airlines table and publish them so.
     """
-    path = f"{root.rstrip('/')}/{spec.folder}"
+    spark, path = df.sparkSession, f"{root.rstrip('/')}/{spec.folder}"
+    staged = f"{path.rstrip('/')}__staged"
     if keep:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         checked = enforce(run_checks(df, spec.name, spec.expectations))
         if spec.partition_by:
-            write_partitioned(df, path, spec.partition_by, only_present=only_present)
+            write_partitioned(df, staged, spec.partition_by)
         else:
-            write_table(df, path)
+            write_table(df, staged)
     finally:
         if keep:
             df.unpersist()
-    written = read_parquet(df.sparkSession, path, spec.schema)
-    if only_present:
-        counts = match_counts(df, written, spec.partition_by).filter("source_rows > 0")
-        complete = counts.filter(~F.col("matched")).isEmpty()
-    else:
-        rows = next(r["observed"] for r in checked if r["check"] == "has_rows")
-        complete = written.count() == rows
-    if not complete:
+    rows = next(r["observed"] for r in checked if r["check"] == "has_rows")
+    if read_parquet(spark, staged, spec.schema).count() != rows:
+        remove_folder(spark, staged)
         raise QualityError(f"{spec.name}: the written table does not hold the source's rows")
-    return written
+    if only_present and spec.partition_by:
+        replace_partitions(spark, staged, path, len(spec.partition_by))
+    else:
+        replace_folder(spark, staged, path)
+    return read_parquet(spark, path, spec.schema)
 
 
 def check_star(tables: dict[str, DataFrame]) -> DataFrame:
@@ -80,10 +83,18 @@ def build_star(
     climate_since: dt.date = dt.date(2000, 1, 1),
     keep_unmatched: bool = False,
     include_open: bool = False,
+    zero_is_null: bool = True,
+    keep_zero: Sequence[str] = (),
+    excluded_airports: Sequence[str] | DataFrame = star.SHARED_AIRPORT_CODES,
+    airport_id: str = "ident",
+    latitude_part: int = 0,
+    longitude_part: int = 1,
+    exact_countries: bool = False,
 ) -> dict[str, DataFrame]:
     """Write the nine tables under ``root``; the first failed gate stops the job.
 
-    Each later table that depends on an earlier one reads its written form.    """
+    Each later table that depends on an earlier one reads its written form.
+    """
     built: dict[str, DataFrame] = {}
 
     def add(spec: TableSpec, df: DataFrame, **options: bool) -> DataFrame:
@@ -93,14 +104,17 @@ def build_star(
     airlines = add(schema.AIRLINES, star.airlines_dimension(sources.records), keep=False)
     fact = add(
         schema.IMMIGRATION,
-        star.immigration_fact(sources.records, airlines, year, keep_unmatched=keep_unmatched),
+        star.immigration_fact(sources.records, airlines, year, zero_is_null, keep_zero, keep_unmatched),
         keep=False,
     )
-    add(schema.AIRPORTS, star.airports_dimension(sources.airports))
+    add(
+        schema.AIRPORTS,
+        star.airports_dimension(sources.airports, excluded_airports, latitude_part, longitude_part, airport_id),
+    )
     add(schema.DATES, star.dates_dimension(fact, include_open))
     add(
         schema.REGIONS,
-        star.regions_dimension(sources.temperatures, sources.countries, climate_since),
+        star.regions_dimension(sources.temperatures, sources.countries, climate_since, exact_countries),
     )
     add(schema.DEMOGRAPHICS, star.demographics_dimension(sources.cities))
     add(schema.VISAS, star.visas_dimension(spark))
@@ -109,6 +123,16 @@ def build_star(
     return built
 
 
+def rerun_months(records: DataFrame, airlines: DataFrame, root: str, year: int = 2016, **options: object) -> DataFrame:
+    """Build the fact rows of ``records`` and replace just the months that occur in them.
+
+    ``records`` has all records of those months and ``airlines`` is the full table, so ids
+    stay as they are.
+    """
+    fact = star.immigration_fact(records, airlines, year, **options)
+    return publish(fact, schema.IMMIGRATION, root, keep=False, only_present=True)
+
+
 def read_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The tables of an earlier run."""
     return {

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,7 @@ from portolan.operators import (
     since,
 )
 from portolan.operators.lookup import any_null
+from portolan.operators.profile import rejected_casts
 from portolan.sources import TRAVEL_MODES, VISA_PURPOSES, code_list
 
 # Airport codes that several airports share and no port of entry uses.
@@ -152,6 +154,37 @@ def record_losses(records: DataFrame, year: int = 2016) -> DataFrame:
     return totals.select(F.inline(F.array(*counted)))
 
 
+# Text columns of the delimited sources and the types they are cast to.
+SOURCE_CASTS = {
+    "airports": {"elevation_ft": "double"},
+    "temperatures": {"dt": "date", "AverageTemperature": "double"},
+    "cities": {
+        "Median Age": "double",
+        "Male Population": "int",
+        "Female Population": "int",
+        "Total Population": "int",
+        "Number of Veterans": "int",
+        "Foreign-born": "int",
+        "Average Household Size": "double",
+        "Count": "int",
+    },
+}
+
+
+def source_rejects(sources: Mapping[str, DataFrame]) -> DataFrame:
+    """``(source, column, type, rejected)``: recorded values that do not fit their type.
+
+    ``sources`` maps airports, temperatures and cities to their text tables. Rejected
+    values become null in the dimensions; a reading whose date is rejected is left out.
+    Blank text counts as not recorded. One scan of each source.
+    """
+    reports = []
+    for name, df in sources.items():
+        recorded = df.select(*[F.nullif(F.trim(F.col(f"`{c}`")), F.lit("")).alias(c) for c in SOURCE_CASTS[name]])
+        reports.append(rejected_casts(recorded, SOURCE_CASTS[name]).select(F.lit(name).alias("source"), "*"))
+    return reduce(DataFrame.unionByName, reports)
+
+
 def airports_dimension(
     airports: DataFrame,
     excluded: Sequence[str] | DataFrame = SHARED_AIRPORT_CODES,

@@ -48,6 +48,7 @@ def read_code_list(
         sep=sep,
         header=True,
         inferSchema=False,
+        enforceSchema=False,
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     )

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from portolan.sources.folders import path_exists
+
 
 def _require_columns(df: DataFrame, required: Sequence[str], path: str) -> None:
     missing = [c for c in required if c not in df.columns]
@@ -37,10 +38,12 @@ def read_delimited(
 ) -> DataFrame:
     """Delimited text with a header line; every column is a string.
 
-    Columns are found by the header, so their order does not matter; cast them with
-    ``functions.to_number`` and ``functions.parse_date``. Files stay splittable.
+    Columns are found by the header. The files of one folder must have the same header:
+    one that differs raises when it is read, as its columns would be mistaken. Cast the
+    columns with ``functions.to_number`` and ``functions.parse_date``. Files stay
+    splittable.
     """
-    df = spark.read.csv(path, sep=sep, header=True, inferSchema=False, **options)
+    df = spark.read.csv(path, sep=sep, header=True, inferSchema=False, enforceSchema=False, **options)
     _require_columns(df, required, path)
     return df
 
@@ -50,13 +53,9 @@ def materialize_if_missing(
 ) -> DataFrame:
     """The Parquet table at ``path``; built and stored there first if it is not yet.
 
-    A folder without any data file, as an interrupted first write leaves it, counts as
-    missing.
+    A folder without the ``_SUCCESS`` mark that Spark sets at the end of a write, as an
+    interrupted one leaves it, counts as missing.
     """
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-    build().write.mode("overwrite").parquet(path)
+    if not path_exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
+        build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

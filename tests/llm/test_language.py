@@ -20,10 +20,12 @@ def test_words_before_grams():
     tables = [{"the": 0}, {"<": 1, "q": 2}, {}, {"the": 3}, {}, {}]
     logs = np.log([[0.9, 0.1], [0.5, 0.5], [0.2, 0.8], [0.1, 0.9]])
     model = L.Model(["a", "b"], tables, logs)
-    assert np.allclose(model.word("the"), logs[0])
-    assert np.allclose(model.word("them"), logs[3])  # unseen: its known 3-gram
-    assert np.allclose(model.word("q"), (logs[1] + logs[2]) / 2)  # 1-grams, the end mark unknown
-    assert model.word("z")[0] == logs[1][0] and model.predict("the the")[0] == "a"
+    assert model.entries("the") == [0] and model.entries("them") == [3]  # unseen: its known 3-gram
+    assert model.entries("q") == [1, 2] and model.entries("z") == [1] and L.Model(["a"], [{}] * 6, logs).entries("x") == []
+    found = model.predict(["the the", "them", None, "9", "zq the"])
+    assert [x[0] for x in found] == ["a", "b", "und", "und", "a"]
+    assert np.allclose(model.vectors[model.seen["q"] if "q" in model.seen else model.seen["zq"]], (logs[1] + logs[2]) / 2)
+    assert np.isclose(found[0][1], 0.9**2**0.5 / (0.9**2**0.5 + 0.1**2**0.5))
 
 
 def test_edges(documents):

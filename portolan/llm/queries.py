@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portolan.checks.registry import Query, table
-from portolan.llm import byte_bpe, language, neighbours, packing, page_text, quality_rules, secret_scan, sharding, simhash, site_quality
+from portolan.llm import byte_bpe, hard_negatives, language, neighbours, packing, page_text, quality_rules, secret_scan, sharding, simhash, site_quality
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -128,3 +128,27 @@ def op4_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return site_quality.classify_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+_NEGATIVES_SQL = """
+    WITH r AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS l,
+            list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    pairs AS (
+        SELECT a.vec_id AS a, b.vec_id AS b, a.l = b.l AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS s
+        FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+    positives AS (SELECT * FROM pairs WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5)
+    SELECT p.a AS anchor_id, p.b AS positive_id,
+        CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.s DESC, n.b) AS INTEGER) AS rank,
+        n.b AS negative_id, p.s AS positive_score, n.s AS negative_score
+    FROM positives p JOIN pairs n ON n.a = p.a AND NOT n.same AND 80 * p.s <= 100 * n.s AND 100 * n.s <= 100 * p.s
+    QUALIFY row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.s DESC, n.b) <= 5"""
+
+
+@query(_NEGATIVES_SQL)
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)

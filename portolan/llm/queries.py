@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portolan.checks.registry import Query, table
-from portolan.llm import byte_bpe, hard_negatives, language, neighbours, packing, page_text, quality_rules, secret_scan, sharding, simhash, site_quality
+from portolan.llm import byte_bpe, hard_negatives, language, neighbours, packing, page_text, prefix_trie, quality_rules, secret_scan, sharding, simhash, site_quality
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -152,3 +152,43 @@ _NEGATIVES_SQL = """
 def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.hard_negatives(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+# CRC-32 bit by bit over the decimal digits, which SQL has no function for.
+_CRC32 = """xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, len({0}) + 1),
+            lambda i: [ord({0}[i])::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+        lambda c, b: CASE WHEN xor(c, b) & 1 = 1 THEN xor(xor(c, b) >> 1, 3988292384) ELSE xor(c, b) >> 1 END))"""
+
+_TRIE_SQL = f"""
+    WITH turns AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+            row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p
+        FROM conversations WHERE conv_id IS NOT NULL),
+    own AS (
+        SELECT conv_id, conv_id - conv_id % 100 AS base, CAST(conv_id AS VARCHAR) AS digits,
+            list(struct_pack(r := role, t := text) ORDER BY p) AS s FROM turns GROUP BY conv_id),
+    drawn AS (SELECT *, {_CRC32.format("digits")} % 6 AS h FROM own),
+    rebuilt AS (
+        SELECT d.conv_id, list_concat(coalesce(b.s[:d.h], []), d.s[d.h + 1:]) AS s
+        FROM drawn d LEFT JOIN own b ON b.conv_id = d.base),
+    nodes AS (
+        SELECT s[:d] AS s, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+            string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(rebuilt.s) = d) AS ends
+        FROM rebuilt, unnest(range(0, len(rebuilt.s) + 1)) AS r(d) GROUP BY 1, 2),
+    weighted AS (
+        SELECT n.*, p.conv_id AS parent_conv_id,
+            (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.s[:n.depth] = n.s) AS n_children,
+            CASE WHEN n.depth = 0 THEN 0 ELSE (n.n_convs - 1) * length(n.s[-1].t) END AS saved
+        FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.s = n.s[:n.depth - 1])
+    SELECT v.conv_id, v.depth, any_value(v.parent_conv_id) AS parent_conv_id, any_value(v.n_convs) AS n_convs,
+        any_value(v.n_children) AS n_children, count(*) FILTER (WHERE w.n_children = 0) AS n_leaves,
+        CAST(sum(w.saved) AS BIGINT) AS saved_tokens, any_value(sha256(coalesce(v.ends, ''))) AS ends_sha256
+    FROM weighted v JOIN weighted w ON w.depth >= v.depth AND w.s[:v.depth] = v.s
+    GROUP BY v.conv_id, v.depth"""
+
+
+@query(_TRIE_SQL)
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = prefix_trie.conversation_turns(table(spark, folder, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.with_shared_beginnings(turns))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portolan.checks.registry import Query, table
-from portolan.llm import byte_bpe, hard_negatives, language, neighbours, packing, page_text, prefix_trie, quality_rules, secret_scan, sharding, simhash, site_quality
+from portolan.llm import byte_bpe, hard_negatives, language, neighbours, packing, page_text, prefix_trie, quality_rules, secret_scan, sharding, simhash, site_quality, suffix_dedup
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -192,3 +192,12 @@ _TRIE_SQL = f"""
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     turns = prefix_trie.conversation_turns(table(spark, folder, "conversations"))
     return prefix_trie.prefix_trie(prefix_trie.with_shared_beginnings(turns))
+
+
+@query()
+def op13_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, folder, "documents"), least=50)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from portolan import schema
 from portolan.plans import Sources, build_star, record_losses, star
-from portolan.plans.job import read_star, rerun_months
+from portolan.plans.job import check_references, rerun_months
 from portolan.sources import read_code_list, read_delimited, read_format_statement, read_parquet
 
 
@@ -43,7 +43,9 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--airport-id", default="ident", choices=("ident", "iata_code"), help="primary key of airports")
     p.add_argument("--longitude-first", action="store_true", help="airport coordinates are longitude, latitude")
     p.add_argument("--exact-countries", action="store_true", help="match country names with their blanks")
-    p.add_argument("--rerun", action="store_true", help="replace only the months in --records; the airlines are read from --output")
+    p.add_argument("--rerun", action="store_true", help="replace only the months in --records; new flights join the airlines in --output")
+    p.add_argument("--rebuild", action="store_true", help="build tables that are up to date as well")
+    p.add_argument("--references", action="store_true", help="count references that no dimension holds")
     a = p.parse_args(argv)
 
     spark = SparkSession.builder.appName("portolan").getOrCreate()
@@ -59,8 +61,7 @@ def main(argv: list[str] | None = None) -> None:
     )
     fact_options = {"zero_is_null": not a.zero_is_value, "keep_zero": a.keep_zero, "keep_unmatched": a.keep_unmatched}
     if a.rerun:
-        airlines = read_star(spark, a.output)["airlines_dm"]
-        tables = {"immigration_ft": rerun_months(sources.records, airlines, a.output, a.year, **fact_options)}
+        tables = {"immigration_ft": rerun_months(sources.records, a.output, a.year, **fact_options)}
     else:
         tables = build_star(
             spark,
@@ -74,6 +75,7 @@ def main(argv: list[str] | None = None) -> None:
             latitude_part=int(a.longitude_first),
             longitude_part=int(not a.longitude_first),
             exact_countries=a.exact_countries,
+            resume=not a.rebuild,
             **fact_options,
         )
     if a.losses:
@@ -82,6 +84,9 @@ def main(argv: list[str] | None = None) -> None:
         texts = {"airports": sources.airports, "temperatures": sources.temperatures, "cities": sources.cities}
         for row in star.source_rejects(texts).collect():
             print(f"{row['source']}.{row['column']} does not fit {row['type']}: {row['rejected']} values")
+    if a.references and not a.rerun:
+        for row in check_references(tables).orderBy("column").collect():
+            print(f"{row['table']}.{row['column']}: {row['orphan_values']} unknown values in {row['orphan_rows']} rows")
     for name, table in tables.items():
         print(f"{name}: {table.count()} rows")
 

@@ -7,12 +7,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from portolan.functions._columns import ColumnLike, as_column
 from portolan.operators.broadcasting import MAX_BROADCAST_BYTES, fits_broadcast
 
-# A key with at least one row in HOT_KEYS is treated apart in a join.
-HOT_KEYS = 5_000
+# A key with at least one row in HOT_KEYS is salted in a join, so that each of its salts
+# has about one row in HOT_KEYS; rows with a null key are spread over NULL_SALTS.
+HOT_KEYS, NULL_SALTS = 5_000, 1_024
+_SALT = "_salt_of_key"
 # Keys are sketched in this many groups, so that as many tasks merge the sketches.
 _SKETCH_GROUPS = 64
 _COUNTERS_PER_GROUP = 4 * HOT_KEYS // _SKETCH_GROUPS
@@ -29,11 +32,11 @@ def lookup_join(
 
     ``how`` is inner, left, left_semi or left_anti. A lookup measured to be small
     is broadcast, and ``facts`` is not shuffled. For a larger one the frequent keys of
-    ``facts`` are found first; their rows, and rows with a null key, are joined to a
-    broadcast of just those keys' lookup rows, and the rest by a shuffle join without
-    those keys. The two parts are disjoint and make up the whole join. If the lookup
-    repeats a frequent key so often that its rows are too large to broadcast, the whole
-    join is a shuffle join, whose partitions adaptive execution splits.
+    ``facts`` are found first, by a scan of the key columns; their rows are salted, and
+    just their lookup rows are replicated, once for each salt. Rows with a null key, which
+    match nothing but stay in a left join, are spread too. The join reads ``facts`` once.
+    It stays exact where the lookup repeats a key. Filter ``facts`` before: the salt, which
+    depends on the task, keeps later filters from the scan.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -44,25 +47,44 @@ def lookup_join(
     if fits_broadcast(lookup, max_broadcast_bytes):
         return facts.join(F.broadcast(lookup), on, how)
 
+    salts = _salts(frequent_key_shares(facts, on))
     keeps_unmatched = how in ("left", "left_anti")
-    hot = frequent_key_hashes(facts, on)
-    if not hot and not keeps_unmatched:
+    if not salts and not keeps_unmatched:
         return facts.join(lookup, on, how)
-    is_hot = _hash_among(on, hot)
-    apart = is_hot | any_null(on) if keeps_unmatched else is_hot
-    hot_lookup = lookup.filter(is_hot)
-    if hot and not fits_broadcast(hot_lookup, max(max_broadcast_bytes, MAX_BROADCAST_BYTES)):
-        return facts.join(lookup, on, how)
-    return (
-        facts.filter(apart).join(F.broadcast(hot_lookup), on, how)
-        .unionByName(facts.filter(~apart).join(lookup, on, how))
-    )
+    of_key = F.lit(1)
+    for n, hashes in salts.items():
+        of_key = F.when(_hash_among(on, hashes), n).otherwise(of_key)
+    of_fact = F.when(any_null(on), NULL_SALTS).otherwise(of_key) if keeps_unmatched else of_key
+    # The row and its partition give the salt, so that a task run again gives the same one,
+    # and rows that are alike still spread.
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns if not _has_map(facts.schema[c].dataType)])
+    salted = facts.withColumn(_SALT, F.pmod(row + F.spark_partition_id(), of_fact).cast("int"))
+    copies = lookup.withColumn(_SALT, F.explode(F.sequence(F.lit(0), of_key.cast("int") - 1)))
+    return salted.join(copies, [*on, _SALT], how).drop(_SALT)
+
+
+def _has_map(kind: T.DataType) -> bool:
+    return "map<" in kind.simpleString()
+
+
+def _salts(shares: dict[int, float]) -> dict[int, list[int]]:
+    """Numbers of salts, powers of two, and the keys (by hash) that get as many."""
+    salts: dict[int, list[int]] = {}
+    for h, share in shares.items():
+        salts.setdefault(1 << int(share * HOT_KEYS).bit_length(), []).append(h)
+    return salts
 
 
 def frequent_key_hashes(df: DataFrame, on: Sequence[str]) -> list[int]:
-    """``xxhash64`` of the keys that hold at least one row in HOT_KEYS.
+    """``xxhash64`` of the keys that hold at least one row in HOT_KEYS."""
+    return list(frequent_key_shares(df, on))
+
+
+def frequent_key_shares(df: DataFrame, on: Sequence[str]) -> dict[int, float]:
+    """Shares of the rows with a whole key that the frequent keys hold, by ``xxhash64``.
 
-    One scan of the key columns; a task sends sketches of fixed size, not its keys.
+    A frequent key holds at least one row in HOT_KEYS. One scan of the key columns; a task
+    sends sketches of fixed size, not its keys.
     """
     sketched = (
         df.na.drop(subset=list(on))
@@ -80,7 +102,7 @@ def frequent_key_hashes(df: DataFrame, on: Sequence[str]) -> list[int]:
         .collect()
     )
     rows = sum(g["rows"] for g in sketched)
-    return [k["item"] for g in sketched for k in g["top"] if k["count"] * HOT_KEYS >= rows]
+    return {k["item"]: k["count"] / rows for g in sketched for k in g["top"] if k["count"] * HOT_KEYS >= rows}
 
 
 def _hash_among(on: Sequence[str], hashes: Sequence[int]) -> Column:

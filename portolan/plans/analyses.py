@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portolan.functions import season_of_month
@@ -15,6 +15,14 @@ def _of_year(fact: DataFrame, year: int | None) -> DataFrame:
     return fact if year is None else fact.filter(F.col("date_year") == year)
 
 
+def _is_summary(fact: DataFrame) -> bool:
+    return "travellers" in fact.columns
+
+
+def _travellers(fact: DataFrame) -> Column:
+    return F.sum("travellers") if _is_summary(fact) else F.count("*")
+
+
 def travel_patterns(
     fact: DataFrame,
     modes: DataFrame,
@@ -25,15 +33,19 @@ def travel_patterns(
     """Travellers by mode, purpose, country of residence and season of arrival.
 
     Codes without a name keep a null name. ``year`` prunes partitions of the fact table.
+    ``fact`` may be the stored summary (``summaries.refresh_summary``) instead.
     """
+    month = F.col("month") if _is_summary(fact) else F.month("arr_date")
     counted = _of_year(fact, year).groupBy(
-        "mode", "visa_code", "res_code", F.month("arr_date").alias("month")
-    ).agg(F.count("*").alias("travellers"))
+        "mode", "visa_code", "res_code", month.alias("month")
+    ).agg(_travellers(fact).alias("travellers"))
     named = counted
-    for key, names, code in (("mode", modes, "code"), ("visa_code", visas, "code"), ("res_code", regions, "cit_res_code")):
-        label = "cit_res_name" if names is regions else [c for c in names.columns if c != code][0]
-        listed = names.select(F.col(code).cast(counted.schema[key].dataType).alias(key), label)
-        named = lookup_join(named, listed, [key], "left")
+    # Modes and visas are fixed lists of a few rows; regions are measured.
+    for key, names, label in (("mode", modes, "travel_mode"), ("visa_code", visas, "travel_purpose")):
+        listed = names.select(F.col("code").cast(counted.schema[key].dataType).alias(key), label)
+        named = named.join(F.broadcast(listed), key, "left")
+    residences = regions.select(F.col("cit_res_code").cast(counted.schema["res_code"].dataType).alias("res_code"), "cit_res_name")
+    named = lookup_join(named, residences, ["res_code"], "left")
     return named.groupBy(
         "travel_mode",
         "travel_purpose",
@@ -48,11 +60,11 @@ def destination_profile(
     """Travellers per state of stay beside the state's population make-up.
 
     States off the list are counted together under ``99``, which has no demographics.
+    ``fact`` may be the stored summary instead.
     """
+    state = F.col("state_code") if _is_summary(fact) else valid_or_other("addr", STATE_CODES)
     counted = (
-        _of_year(fact, year)
-        .groupBy(valid_or_other("addr", STATE_CODES).alias("state_code"))
-        .agg(F.count("*").alias("travellers"))
+        _of_year(fact, year).groupBy(state.alias("state_code")).agg(_travellers(fact).alias("travellers"))
     )
     population = F.col("total_population")
     return counted.join(demographics, "state_code", "left").select(

@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+import portolan
 from portolan import schema
 from portolan.operators import QualityError, enforce, run_checks, run_suite
-from portolan.plans import star
+from portolan.operators.check_states import check_state, key_state, merged_report, replaced
+from portolan.operators.references import reference_report
+from portolan.plans import star, summaries
 from portolan.schema import TableSpec
 from portolan.sources import read_parquet, write_partitioned, write_table
-from portolan.sources.folders import remove_folder, replace_folder, replace_partitions
+from portolan.sources.fingerprints import fingerprint
+from portolan.sources.versions import VersionedTable
 
 
 @dataclass(frozen=True)
@@ -29,45 +34,51 @@ class Sources:
     ports: DataFrame
 
 
+def table_path(spec: TableSpec, root: str) -> str:
+    return f"{root.rstrip('/')}/{spec.folder}"
+
+
 def publish(
     df: DataFrame,
     spec: TableSpec,
     root: str,
     keep: bool = True,
     only_present: bool = False,
+    append: bool = False,
+    checked: Sequence | None = None,
+    **facts: object,
 ) -> DataFrame:
     """Gate ``df``, write it under ``root`` and return the written table.
 
-    A failed gate raises before anything is written. The rows are written beside the live
-    table, compared with the source by count, and only then take its place, so that a
-    failed write leaves the old table as it was. ``keep`` holds a table in memory
-    and on disk between gate and write; without it the gate is a second, column-pruned
-    read of the sources, which is cheaper for a table as large as its source.
-    ``only_present`` replaces just the partitions that occur in ``df``: to rerun one
-    month, build its fact rows against the full airlines table and publish them so.
+    A failed gate raises before anything is written. The rows are written as a new version
+    beside the live one and compared with the source by count; only then the table's
+    manifest names them, so that readers see the old table or the new one whatever fails.
+    ``keep`` holds a table in memory and on disk between gate and write; without it the
+    gate is a second, column-pruned read of the sources, which is cheaper for a table as
+    large as its source. ``only_present`` replaces just the partitions that occur in
+    ``df`` and ``append`` none. ``checked`` is the report of a gate that has been passed
+    already; ``facts`` go into the manifest.
     """
-    spark, path = df.sparkSession, f"{root.rstrip('/')}/{spec.folder}"
-    staged = f"{path.rstrip('/')}__staged"
+    table = VersionedTable(df.sparkSession, table_path(spec, root))
+    staged = table.stage()
     if keep:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        checked = enforce(run_checks(df, spec.name, spec.expectations))
+        rows = df.count() if checked else next(
+            r["observed"] for r in enforce(run_checks(df, spec.name, spec.expectations)) if r["check"] == "has_rows"
+        )
         if spec.partition_by:
-            write_partitioned(df, staged, spec.partition_by)
+            write_partitioned(df, staged, spec.partition_by, cluster_by=spec.cluster_by)
         else:
             write_table(df, staged)
     finally:
         if keep:
             df.unpersist()
-    rows = next(r["observed"] for r in checked if r["check"] == "has_rows")
-    if read_parquet(spark, staged, spec.schema).count() != rows:
-        remove_folder(spark, staged)
+    if read_parquet(df.sparkSession, staged, spec.schema).count() != rows:
         raise QualityError(f"{spec.name}: the written table does not hold the source's rows")
-    if only_present and spec.partition_by:
-        replace_partitions(spark, staged, path, len(spec.partition_by))
-    else:
-        replace_folder(spark, staged, path)
-    return read_parquet(spark, path, spec.schema)
+    mode = "append" if append else "replace_present" if only_present and spec.partition_by else "replace"
+    table.commit(staged, mode, **facts)
+    return table.read(spec.schema)
 
 
 def check_star(tables: dict[str, DataFrame]) -> DataFrame:
@@ -90,52 +101,143 @@ def build_star(
     latitude_part: int = 0,
     longitude_part: int = 1,
     exact_countries: bool = False,
+    resume: bool = True,
 ) -> dict[str, DataFrame]:
     """Write the nine tables under ``root``; the first failed gate stops the job.
 
-    Each later table that depends on an earlier one reads its written form.
+    Each later table that depends on an earlier one reads its written form. A table's
+    manifest holds the fingerprint of its definition, options and inputs; one that is there
+    with the same fingerprint is not built again, so a run after a stop goes on at the
+    first table that is missing or out of date. ``resume=False`` builds all.
     """
     built: dict[str, DataFrame] = {}
 
-    def add(spec: TableSpec, df: DataFrame, **options: bool) -> DataFrame:
-        built[spec.name] = publish(df, spec, root, **options)
+    def add(spec: TableSpec, build: Callable[[], DataFrame], inputs: Sequence[DataFrame], *options: object, keep: bool = True) -> DataFrame:
+        made_from = fingerprint(inputs, (portolan.__version__, spec, options))
+        table = VersionedTable(spark, table_path(spec, root))
+        current = table.manifest()
+        if resume and current is not None and current.facts.get("fingerprint") == made_from:
+            built[spec.name] = table.read(spec.schema)
+        else:
+            built[spec.name] = publish(build(), spec, root, keep=keep, fingerprint=made_from)
         return built[spec.name]
 
-    airlines = add(schema.AIRLINES, star.airlines_dimension(sources.records), keep=False)
+    s = sources
+    records = [s.records]
+    airlines = add(schema.AIRLINES, lambda: star.airlines_dimension(s.records), records, keep=False)
+    fact_options = (year, zero_is_null, tuple(keep_zero), keep_unmatched)
     fact = add(
-        schema.IMMIGRATION,
-        star.immigration_fact(sources.records, airlines, year, zero_is_null, keep_zero, keep_unmatched),
-        keep=False,
+        schema.IMMIGRATION, lambda: star.immigration_fact(s.records, airlines, *fact_options),
+        [*records, airlines], fact_options, keep=False,
     )
+    listed = [excluded_airports] if isinstance(excluded_airports, DataFrame) else []
+    airport_options = (latitude_part, longitude_part, airport_id)
     add(
-        schema.AIRPORTS,
-        star.airports_dimension(sources.airports, excluded_airports, latitude_part, longitude_part, airport_id),
+        schema.AIRPORTS, lambda: star.airports_dimension(s.airports, excluded_airports, *airport_options),
+        [s.airports, *listed], airport_options, () if listed else tuple(excluded_airports),
     )
-    add(schema.DATES, star.dates_dimension(fact, include_open))
+    add(schema.DATES, lambda: star.dates_dimension(fact, include_open), [fact], include_open)
+    region_options = (climate_since, exact_countries)
     add(
-        schema.REGIONS,
-        star.regions_dimension(sources.temperatures, sources.countries, climate_since, exact_countries),
+        schema.REGIONS, lambda: star.regions_dimension(s.temperatures, s.countries, *region_options),
+        [s.temperatures, s.countries], region_options,
     )
-    add(schema.DEMOGRAPHICS, star.demographics_dimension(sources.cities))
-    add(schema.VISAS, star.visas_dimension(spark))
-    add(schema.PORTS, star.ports_dimension(sources.ports))
-    add(schema.MODES, star.modes_dimension(spark))
+    add(schema.DEMOGRAPHICS, lambda: star.demographics_dimension(s.cities), [s.cities])
+    add(schema.VISAS, lambda: star.visas_dimension(spark), [], star.VISA_PURPOSES)
+    add(schema.PORTS, lambda: star.ports_dimension(s.ports), [s.ports])
+    add(schema.MODES, lambda: star.modes_dimension(spark), [], star.TRAVEL_MODES)
     return built
 
 
-def rerun_months(records: DataFrame, airlines: DataFrame, root: str, year: int = 2016, **options: object) -> DataFrame:
+def extend_airlines(records: DataFrame, root: str) -> DataFrame:
+    """The airlines table with the flights of ``records`` that it lacks appended.
+
+    Old ids stay as they are; new ones follow the largest.
+    """
+    spec = schema.AIRLINES
+    table = VersionedTable(records.sparkSession, table_path(spec, root))
+    new = star.new_airlines(records, table.read(spec.schema)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return table.read(spec.schema) if new.isEmpty() else publish(new, spec, root, append=True)
+    finally:
+        new.unpersist()
+
+
+# The states of the fact table's checks, one folder per month, beside it.
+COUNTS_FOLDER, KEYS_FOLDER = "checks/immigration_counts", "checks/immigration_keys"
+
+
+def fact_states(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """Counts and keys of each month of the fact table that is there now.
+
+    States name the version of the table that they describe. If they lag behind it, as
+    after a crash between two commits or a first build, they are made anew from the table.
+    """
+    spec, by = schema.IMMIGRATION, schema.IMMIGRATION.partition_by
+    fact = VersionedTable(spark, table_path(spec, root))
+    number = fact.manifest().number
+    stored = [VersionedTable(spark, f"{root.rstrip('/')}/{f}") for f in (COUNTS_FOLDER, KEYS_FOLDER)]
+    manifests = [s.manifest() for s in stored]
+    if any(m is None or m.facts.get("of_version") != number for m in manifests):
+        _store_states(fact.read(spec.schema), root, "replace", number)
+    return stored[0].read(_state_schema(check_state, spec, spark)), stored[1].read(_state_schema(key_state, spec, spark))
+
+
+def _state_schema(state: Callable, spec: TableSpec, spark: SparkSession):
+    return state(spark.createDataFrame([], spec.schema), spec.expectations, spec.partition_by).schema
+
+
+def _store_states(fact: DataFrame, root: str, mode: str, number: int) -> None:
+    spec = schema.IMMIGRATION
+    for state, folder in ((check_state, COUNTS_FOLDER), (key_state, KEYS_FOLDER)):
+        table = VersionedTable(fact.sparkSession, f"{root.rstrip('/')}/{folder}")
+        staged = table.stage()
+        write_partitioned(state(fact, spec.expectations, spec.partition_by), staged, spec.partition_by)
+        table.commit(staged, mode, of_version=number)
+
+
+def rerun_months(records: DataFrame, root: str, year: int = 2016, **options: object) -> DataFrame:
     """Build the fact rows of ``records`` and replace just the months that occur in them.
 
-    ``records`` has all records of those months and ``airlines`` is the full table, so ids
-    stay as they are.
+    ``records`` has all records of those months. Flights that are new are appended to the
+    airlines table; known ones keep their ids. The gate is that of the whole table: the
+    states of the other months are merged with those of the new rows, so a key that two
+    months share fails it, and the other months' rows are not read.
     """
+    spark, spec = records.sparkSession, schema.IMMIGRATION
+    by = spec.partition_by
+    airlines = extend_airlines(records, root)
     fact = star.immigration_fact(records, airlines, year, **options)
-    return publish(fact, schema.IMMIGRATION, root, keep=False, only_present=True)
+    counts, keys = fact_states(spark, root)
+    new_counts, new_keys = check_state(fact, spec.expectations, by), key_state(fact, spec.expectations, by)
+    report = merged_report(replaced(counts, new_counts, by), replaced(keys, new_keys, by), spec.name, spec.expectations)
+    published = publish(fact, spec, root, keep=False, only_present=True, checked=enforce(report))
+    number = VersionedTable(spark, table_path(spec, root)).manifest().number
+    months = published.join(F.broadcast(fact.select(*by).distinct()), list(by), "left_semi")
+    _store_states(months.select(*spec.schema.names), root, "replace_present", number)
+    summaries.refresh_summary(spark, root)
+    return published
+
+
+def check_merged(spark: SparkSession, root: str) -> DataFrame:
+    """The gates of the fact table from its stored states."""
+    spec = schema.IMMIGRATION
+    return merged_report(*fact_states(spark, root), spec.name, spec.expectations)
+
+
+def check_references(tables: dict[str, DataFrame], max_broadcast_bytes: int | None = None) -> DataFrame:
+    """Values of each reference of the fact table that its dimension lacks, and their rows."""
+    spec = schema.IMMIGRATION
+    targets = {c: target.split(".") for c, target in spec.foreign_keys.items()}
+    bound = {} if max_broadcast_bytes is None else {"max_broadcast_bytes": max_broadcast_bytes}
+    return reference_report(
+        tables[spec.name], {c: (tables[name], key) for c, (name, key) in targets.items() if name in tables}, spec.name, **bound
+    )
 
 
 def read_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The tables of an earlier run."""
     return {
-        name: read_parquet(spark, f"{root.rstrip('/')}/{spec.folder}", spec.schema)
+        name: VersionedTable(spark, table_path(spec, root)).read(spec.schema)
         for name, spec in schema.TABLES.items()
     }

@@ -41,6 +41,7 @@ from portolan.operators import (
 )
 from portolan.operators.lookup import any_null
 from portolan.operators.profile import rejected_casts
+from portolan.operators.registry import unregistered_keys
 from portolan.sources import TRAVEL_MODES, VISA_PURPOSES, code_list
 
 # Airport codes that several airports share and no port of entry uses.
@@ -80,11 +81,19 @@ FACT_TEXTS = {
 }
 
 
+def _flights(records: DataFrame) -> DataFrame:
+    return project(records, {"airline_code": "airline", "flight_number": "fltno"})
+
+
+def new_airlines(records: DataFrame, airlines: DataFrame) -> DataFrame:
+    """Flights that the airlines table lacks, with ids that follow its largest."""
+    new = unregistered_keys(_flights(records), airlines, ["airline_code", "flight_number"], "flight_id")
+    return conform(new, schema.AIRLINES.schema)
+
+
 def airlines_dimension(records: DataFrame) -> DataFrame:
     """Airline × flight number with a dense id in (airline, flight number) order."""
-    pairs = distinct_rows(
-        project(records, {"airline_code": "airline", "flight_number": "fltno"}).na.drop()
-    )
+    pairs = distinct_rows(_flights(records).na.drop())
     numbered = dense_surrogate_key(pairs, ["airline_code", "flight_number"], "flight_id")
     return conform(numbered, schema.AIRLINES.schema)
 

@@ -13,7 +13,11 @@ from portolan.operators.quality import Expectations
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A target table. Foreign keys (``column -> table.column``) are documentation."""
+    """A target table.
+
+    Foreign keys (``column -> table.column``) are reported, not enforced. Rows lie close
+    together by ``cluster_by`` within a partition.
+    """
 
     name: str
     folder: str
@@ -21,6 +25,7 @@ class TableSpec:
     primary_key: str
     foreign_keys: Mapping[str, str] = field(default_factory=dict)
     partition_by: tuple[str, ...] = ()
+    cluster_by: tuple[str, ...] = ()
     typed_columns: tuple[str, ...] = ()
     reported_unique: tuple[tuple[str, ...], ...] = ()
 
@@ -71,6 +76,7 @@ IMMIGRATION = TableSpec(
         "flight_id": "airlines_dm.flight_id",
     },
     partition_by=("date_year", "date_month"),
+    cluster_by=("dept_date", "flight_id"),
     typed_columns=("arr_date", "dept_date"),
 )
 

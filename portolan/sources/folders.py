@@ -1,7 +1,8 @@
-"""Folders in whatever store their paths name."""
+"""Folders and small files in whatever store their paths name."""
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -21,29 +22,52 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     files.delete(at, True)
 
 
-def replace_folder(spark: SparkSession, staged: str, live: str) -> None:
-    """Put ``staged`` where ``live`` is; the old folder goes once the new one is in place."""
-    new, files = _at(spark, staged)
-    place, _ = _at(spark, live)
-    old, _ = _at(spark, f"{live.rstrip('/')}__old")
-    files.delete(old, True)
-    if files.exists(place) and not files.rename(place, old):
-        raise OSError(f"cannot set {live} aside")
-    files.mkdirs(place.getParent())
-    if not files.rename(new, place):
-        if files.exists(old):
-            files.rename(old, place)
-        raise OSError(f"cannot move {staged} to {live}")
-    files.delete(old, True)
-
-
-def replace_partitions(spark: SparkSession, staged: str, live: str, depth: int) -> None:
-    """Put each ``column=value`` folder of ``staged`` in place of its like in ``live``."""
-    top, files = _at(spark, staged)
-    levels = [top]
-    for _ in range(depth):
-        levels = [f.getPath() for p in levels for f in files.listStatus(p) if f.isDirectory() and "=" in f.getPath().getName()]
-    start = len(top.toUri().getPath().rstrip("/")) + 1
-    for folder in levels:
-        replace_folder(spark, folder.toString(), f"{live.rstrip('/')}/{folder.toUri().getPath()[start:]}")
-    files.delete(top, True)
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if there is no folder."""
+    at, files = _at(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(at)) if files.exists(at) else []
+
+
+def partition_folders(spark: SparkSession, path: str) -> list[str]:
+    """The innermost ``column=value`` folders under a path, as paths relative to it."""
+    at, files = _at(spark, path)
+    found = []
+    for f in files.listStatus(at):
+        name = f.getPath().getName()
+        if f.isDirectory() and "=" in name:
+            found += [f"{name}/{p}" for p in partition_folders(spark, f"{path.rstrip('/')}/{name}")] or [name]
+    return sorted(found)
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that must not be there yet."""
+    at, files = _at(spark, path)
+    try:
+        out = files.create(at, False)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            raise FileExistsError(path) from None
+        raise
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    at, files = _at(spark, path)
+    stream = files.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def file_marks(spark: SparkSession, paths: list[str]) -> list[tuple[str, int, int]]:
+    """(path, length, time of change) of files."""
+    marks = []
+    for path in paths:
+        at, files = _at(spark, path)
+        status = files.getFileStatus(at)
+        marks.append((path, status.getLen(), status.getModificationTime()))
+    return marks

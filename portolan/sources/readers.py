@@ -7,7 +7,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from portolan.sources.fingerprints import fingerprint
 from portolan.sources.folders import path_exists
+from portolan.sources.versions import VersionedTable
 
 
 def _require_columns(df: DataFrame, required: Sequence[str], path: str) -> None:
@@ -59,3 +61,22 @@ def materialize_if_missing(
     if not path_exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def refreshed_copy(
+    spark: SparkSession, path: str, source: DataFrame, build: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> DataFrame:
+    """The copy of ``build(source)`` at ``path``, made again if the source has changed.
+
+    The copy's manifest holds what it was made from: the source's files with their lengths
+    and times of change, its plan, and the columns that ``build`` gives. The old copy stays
+    readable until the new one is whole. A copy that is up to date is read without a job.
+    """
+    table, built = VersionedTable(spark, path), build(source)
+    made_from = fingerprint([built], path)
+    current = table.manifest()
+    if current is None or current.facts.get("fingerprint") != made_from:
+        staged = table.stage()
+        built.write.parquet(staged)
+        table.commit(staged, fingerprint=made_from)
+    return table.read(built.schema)

@@ -139,22 +139,35 @@ def test_exclude_and_unwanted(spark):
     assert rows(exclude_values(usable, "code", ["MRE", *map(str, range(5000))])) == [("AAA", "small")]
 
 
-def test_measured_broadcast_of_frequent_keys(spark, plan, monkeypatch):
-    """A lookup that repeats the frequent key widely is not broadcast."""
-    from portolan.operators import lookup
-
-    facts = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"))
-    wide = spark.range(2_000).select((F.col("id") * 0 + 1).alias("k"), F.col("id").alias("v"))
-    assert "Broadcast" in plan(lookup_join(facts, wide, ["k"], max_broadcast_bytes=0))
-    monkeypatch.setattr(lookup, "MAX_BROADCAST_BYTES", 1_000)
+def test_frequent_keys_are_salted_in_one_scan(spark, plan, tmp_path):
+    """Facts are read once, and a lookup that repeats the frequent key widely stays exact."""
+    n = F.col("id")
+    spark.range(60_000).select(F.when(n % 3 == 0, 1).when(n % 7 != 0, n).alias("k"), n.alias("row")).write.parquet(str(tmp_path / "f"))
+    facts = spark.read.parquet(str(tmp_path / "f"))
+    wide = spark.range(2_000).select((n * 0 + 1).alias("k"), n.alias("v"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         joined = lookup_join(facts, wide, ["k"], max_broadcast_bytes=0)
         assert "Broadcast" not in plan(joined) and joined.count() == 20_001 * 2_000
+        for how in ("inner", "left", "left_semi", "left_anti"):
+            shown = plan(lookup_join(facts, wide.limit(3), ["k"], how, max_broadcast_bytes=0))
+            assert shown.count("FileScan") == 1 and "Union" not in shown
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_salts_spread_a_frequent_key(spark):
+    """Rows of one key, alike in all columns, reach many tasks; so do rows without a key."""
+    from portolan.operators.lookup import _SALT
+
+    facts = spark.range(0, 40_000, 1, 8).select(F.when(F.col("id") % 2 == 0, 7).cast("bigint").alias("k"))
+    lookup = spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    joined = lookup_join(facts, lookup, ["k"], "left", max_broadcast_bytes=0)
+    assert joined.count() == 40_000 and joined.filter("v = 1").count() == 20_000
+    text = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert _SALT in text and _SALT not in joined.columns
+
+
 # --- keys -------------------------------------------------------------------------------
 
 

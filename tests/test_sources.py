@@ -17,10 +17,10 @@ from portolan.sources import (
     read_delimited,
     read_format_statement,
     read_parquet,
+    read_table,
     write_partitioned,
     write_table,
 )
-from portolan.sources.folders import replace_folder, replace_partitions
 
 
 def rows(df):
@@ -47,20 +47,6 @@ def test_files_of_a_folder_must_agree(spark, tmp_path):
     assert rows(read_delimited(spark, str(tmp_path))) == [("1", "2"), ("3", "4")]
 
 
-def test_replaced_folders(spark, tmp_path):
-    live, staged = str(tmp_path / "deep" / "live"), str(tmp_path / "staged")
-    for n in (2, 5):
-        spark.range(n).write.parquet(staged)
-        replace_folder(spark, staged, live)
-        assert spark.read.parquet(live).count() == n
-    months = [(1, 1, "a"), (1, 2, "b"), (2, 1, "c")]
-    spark.createDataFrame(months, "y int, m int, v string").write.partitionBy("y", "m").parquet(str(tmp_path / "p"))
-    spark.createDataFrame([(1, 2, "B"), (3, 1, "d")], "y int, m int, v string").write.partitionBy("y", "m").parquet(staged)
-    replace_partitions(spark, staged, str(tmp_path / "p"), 2)
-    found = spark.read.parquet(str(tmp_path / "p")).select("y", "m", "v")
-    assert rows(found) == [(1, 1, "a"), (1, 2, "B"), (2, 1, "c"), (3, 1, "d")]
-
-
 def test_short_write_leaves_the_old_table(spark, small, tmp_path, monkeypatch):
     from portolan import schema
     from portolan.operators import QualityError
@@ -71,7 +57,7 @@ def test_short_write_leaves_the_old_table(spark, small, tmp_path, monkeypatch):
     monkeypatch.setattr(job, "write_table", lambda df, path: write_table(df.limit(2), path))
     with pytest.raises(QualityError, match="source's rows"):
         job.publish(modes, schema.MODES, str(tmp_path))
-    assert spark.read.parquet(str(tmp_path / schema.MODES.folder)).count() == 4
+    assert read_table(spark, str(tmp_path / schema.MODES.folder)).count() == 4
 
 
 def test_read_parquet(spark, small, tmp_path):

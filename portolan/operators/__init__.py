@@ -44,12 +44,15 @@ from portolan.operators.quality import (
     run_checks,
     run_suite,
 )
+from portolan.operators.references import reference_report
+from portolan.operators.registry import unregistered_keys
 from portolan.operators.rollup import (
     category_pivot,
     duplicate_keys,
     group_count,
     mixed_rollup,
     monthly_profile,
+    open_pivot,
     top_duplicates,
     year_pair_histogram,
 )
@@ -81,9 +84,11 @@ __all__ = [
     "monthly_profile",
     "open_or_ordered",
     "open_or_within_year",
+    "open_pivot",
     "preview",
     "project",
     "recorded_and_not",
+    "reference_report",
     "register_view",
     "rejected_casts",
     "require_not_null",
@@ -98,6 +103,7 @@ __all__ = [
     "table_profile",
     "top_duplicates",
     "uniqueness",
+    "unregistered_keys",
     "valid_or_other",
     "valid_or_other_lookup",
     "year_pair_histogram",

@@ -70,7 +70,7 @@ def column_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     deviation of text columns are taken over the values that are numbers.
     """
     wanted = [f for f in df.schema.fields if columns is None or f.name in columns]
-    totals, rows = [], []
+    totals, rows, columns = [], [], []
     for i, f in enumerate(wanted):
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.StringType):
@@ -79,6 +79,8 @@ def column_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
             n = c.cast("double")
         else:
             n = F.lit(None).cast("double")
+        columns += [c.alias(f"v{i}"), n.alias(f"n{i}")]  # a text is cast once, not once for each total
+        c, n = F.col(f"v{i}"), F.col(f"n{i}")
         totals += [
             F.count(c).alias(f"c{i}"),
             F.avg(n).alias(f"m{i}"),
@@ -96,7 +98,7 @@ def column_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
                 "max": F.col(f"hi{i}"),
             }
         )
-    return _rows_from(df.agg(*totals), rows)
+    return _rows_from(df.select(*columns).agg(*totals), rows)
 
 
 def uniqueness(df: DataFrame, column: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Group aggregates, pivots with a declared value list, and duplicate reports."""
+"""Group aggregates, pivots with declared values or those found, and duplicate reports."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from portolan.functions._columns import ColumnLike, as_column
 from portolan.functions.dates import MONTHS
+from portolan.sources.scratch import store
 
 
 def group_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -74,6 +75,38 @@ def category_pivot(
     return pivoted.select(*keys, *[F.col(f"`{c}`").alias(n) for c, n in names.items()])
 
 
+def open_pivot(
+    df: DataFrame,
+    keys: Sequence[str],
+    category: str,
+    measure: Column,
+    widest: int = 256,
+    prefix: str = "",
+) -> DataFrame:
+    """Sum of ``measure`` per key and category, the categories found in the data.
+
+    First ``measure`` is summed per key and category and stored, which is all that is read
+    afterwards. Up to ``widest`` categories become columns, named by ``prefix`` and the
+    category as text, in its order; null is the last, ``null``. More of them stay rows:
+    ``keys``, category and total. Nothing is dropped either way. A key without rows of a
+    category has null there; a name that two columns would share raises.
+    """
+    sums = store(
+        df.select(*keys, F.col(category).cast("string").alias("category"), measure.alias("_measure"))
+        .groupBy(*keys, "category").agg(F.sum("_measure").alias("total")),
+        "pivot-sums",
+    )
+    found = [r["category"] for r in sums.select("category").distinct().limit(widest + 1).collect()]
+    if len(found) > widest:
+        return sums
+    names = {c: f"{prefix}{'null' if c is None else c}" for c in sorted(found, key=lambda c: (c is None, c))}
+    taken = [n.lower() for n in (*keys, *names.values())]
+    if len(set(taken)) < len(taken):
+        raise ValueError(f"categories {sorted(set(names.values()))} and keys {list(keys)} share a name; give a prefix")
+    columns = [F.sum(F.when(F.col("category").eqNullSafe(F.lit(c)), F.col("total"))).alias(n) for c, n in names.items()]
+    return sums.groupBy(*keys).agg(*columns) if columns else sums.select(*keys)
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count."""
     return df.groupBy(*keys).count().filter(F.col("count") > 1)

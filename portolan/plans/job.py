@@ -19,6 +19,7 @@ from portolan.plans import star, summaries
 from portolan.schema import TableSpec
 from portolan.sources import read_parquet, write_partitioned, write_table
 from portolan.sources.fingerprints import fingerprint
+from portolan.sources.scratch import scratch_scope
 from portolan.sources.versions import VersionedTable
 
 
@@ -119,7 +120,8 @@ def build_star(
         if resume and current is not None and current.facts.get("fingerprint") == made_from:
             built[spec.name] = table.read(spec.schema)
         else:
-            built[spec.name] = publish(build(), spec, root, keep=keep, fingerprint=made_from)
+            with scratch_scope(spark):
+                built[spec.name] = publish(build(), spec, root, keep=keep, fingerprint=made_from)
         return built[spec.name]
 
     s = sources
@@ -156,11 +158,9 @@ def extend_airlines(records: DataFrame, root: str) -> DataFrame:
     """
     spec = schema.AIRLINES
     table = VersionedTable(records.sparkSession, table_path(spec, root))
-    new = star.new_airlines(records, table.read(spec.schema)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with scratch_scope(records.sparkSession):
+        new = star.new_airlines(records, table.read(spec.schema))
         return table.read(spec.schema) if new.isEmpty() else publish(new, spec, root, append=True)
-    finally:
-        new.unpersist()
 
 
 # The states of the fact table's checks, one folder per month, beside it.

@@ -1,0 +1,92 @@
+"""Key registries, open pivots, clustered files and scratch scopes."""
+
+from __future__ import annotations
+
+import glob
+import os
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from portolan.operators import open_pivot, unregistered_keys
+from portolan.sources import new_scratch_path, write_partitioned
+from portolan.sources.scratch import scratch_scope, store
+
+
+def rows(df, *columns):
+    return sorted((tuple(r) for r in df.select(*columns or df.columns).collect()), key=repr)
+
+
+@pytest.mark.parametrize("bound", [1 << 20, 0])
+def test_registry_appends(spark, bound):
+    registry = spark.createDataFrame([("a", 1, 1), ("c", 1, 2)], "k string, n int, id int")
+    keys = spark.createDataFrame([("b", 1), ("c", 1), ("b", 1), ("a", 2), (None, 1), ("d", None), ("a", 1)], "k string, n int")
+    new = unregistered_keys(keys, registry, ["k", "n"], max_broadcast_bytes=bound)
+    assert rows(new) == [("a", 2, 3), ("b", 1, 4)] and dict(new.dtypes)["id"] == "int"
+    assert unregistered_keys(keys, registry.unionByName(new), ["k", "n"]).count() == 0
+    first = unregistered_keys(keys, registry.limit(0), ["k", "n"])
+    assert rows(first) == [("a", 1, 1), ("a", 2, 2), ("b", 1, 3), ("c", 1, 4)]
+
+
+def test_open_pivot(spark):
+    df = spark.createDataFrame([("x", "b", 1), ("x", "a", 2), ("x", "b", 3), ("y", None, 4), ("z", "a", None), (None, "a", 5)], "k string, c string, n int")
+    wide = open_pivot(df, ["k"], "c", F.col("n"))
+    assert wide.columns == ["k", "a", "b", "null"]
+    assert rows(wide) == [("x", 2, 4, None), ("y", None, None, 4), ("z", None, None, None), (None, 5, None, None)]
+    tall = open_pivot(df, ["k"], "c", F.col("n"), widest=2)
+    assert rows(tall) == [("x", "a", 2), ("x", "b", 4), ("y", None, 4), ("z", "a", None), (None, "a", 5)]
+    numbers = open_pivot(df, ["k"], "n", F.lit(1), prefix="n_")
+    assert numbers.columns == ["k", "n_1", "n_2", "n_3", "n_4", "n_5", "n_null"]
+    with pytest.raises(ValueError, match="prefix"):
+        open_pivot(df.withColumn("c", F.lit("K")), ["k"], "c", F.col("n"))
+    assert open_pivot(df.limit(0), ["k"], "c", F.col("n")).columns == ["k"]
+
+
+def row_groups_read(path, column, low, high):
+    """How many row groups may hold the values, by the bounds in the files' footers, and of how many."""
+    groups = read = 0
+    for name in glob.glob(f"{path}/**/*.parquet", recursive=True):
+        file = pq.ParquetFile(name)
+        for g in range(file.metadata.num_row_groups):
+            meta = file.metadata.row_group(g)
+            bounds = next(meta.column(i).statistics for i in range(meta.num_columns) if meta.column(i).path_in_schema == column)
+            groups += 1
+            read += bounds.min <= high and bounds.max >= low
+    return read, groups
+
+
+def test_clustered_files_let_readers_skip(spark, tmp_path):
+    """One month holds most rows; within a month, row groups are ranges of the end and flight."""
+    n = F.col("id")
+    facts = spark.range(120_000).select(
+        F.when(n % 5 == 0, n % 11).otherwise(0).cast("int").alias("m"), F.pmod(F.xxhash64("id"), F.lit(400)).cast("int").alias("end"),
+        F.pmod(F.xxhash64(n + 1), F.lit(90)).cast("int").alias("flight"), n,
+    ).repartition(8)
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_partitioned(facts, str(tmp_path / "plain"), ["m"], rebalance=False)
+        write_partitioned(facts, str(tmp_path / "clustered"), ["m"], cluster_by=["end", "flight"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    stored = spark.read.parquet(str(tmp_path / "clustered"))
+    assert rows(stored.select("id", "end", "flight", F.col("m").cast("int"))) == rows(facts.select("id", "end", "flight", "m"))
+    everything, _ = row_groups_read(tmp_path / "plain" / "m=0", "end", 100, 105)
+    read, groups = row_groups_read(tmp_path / "clustered" / "m=0", "end", 100, 105)
+    assert everything == 8 and groups >= 10 and read <= 2
+    assert len(os.listdir(tmp_path / "clustered")) == len(os.listdir(tmp_path / "plain"))
+
+
+def test_scratch_goes_with_its_scope(spark):
+    outside = store(spark.range(3), "outside")
+    with scratch_scope(spark):
+        kept = store(spark.range(4), "inside")
+        with pytest.raises(ValueError), scratch_scope(spark):
+            lost = store(spark.range(5), "inner")
+            raise ValueError
+        assert kept.count() == 4 and not os.path.exists(lost.inputFiles()[0].removeprefix("file://"))
+        path = kept.inputFiles()[0].removeprefix("file://")
+    assert not os.path.exists(path) and outside.count() == 3
+    assert new_scratch_path(spark, "x") != new_scratch_path(spark, "x")

@@ -65,6 +65,7 @@ class ByteBpe:
         self.tokens = [b""] * (max(self.ids.values()) + 1)
         for token, i in self.ids.items():
             self.tokens[i] = token
+        self.spelt = pa.array(self.tokens, pa.large_binary())
         self.bytes = np.array([self.ids[bytes([b])] for b in range(256)], dtype=np.int64)
         get = self.ids.get
         pairs = [
@@ -155,7 +156,10 @@ class ByteBpe:
         return np.array([i for i in ids if i is not None], dtype="<u4").tobytes()
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
+        """The bytes of little-endian uint32 ids."""
+        spelt = self.spelt.take(pa.array(np.frombuffer(ids, dtype="<u4")))
+        _, ends, data = spelt.buffers()
+        return data[: np.frombuffer(ends, "<i8")[len(spelt)]].to_pybytes() if ids else b""
 
 
 _coders: dict[int, tuple[ByteBpe, ChunkEncoder]] = {}
@@ -189,7 +193,7 @@ def encode_texts(
         bpe, encode = coder(shared.value, pattern)
         for batch in batches:
             first, ids, decoded, held = 0, [], [], 0
-            for row, encoded in enumerate(encode(t.as_py() or "" for t in batch.column(1)), 1):
+            for row, encoded in enumerate(encode(batch.column(1)), 1):
                 ids.append(encoded)
                 decoded.append(bpe.decode(ids[-1]))
                 held += len(ids[-1]) + len(decoded[-1])

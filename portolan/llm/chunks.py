@@ -2,56 +2,96 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 
-# A space between two characters that are not white space starts a new match of the usual
-# byte-level patterns, whatever stands before it, and no match reaches across it.
-_SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 # Chunks kept of the current and of the last generation each, and the longest that is kept.
 MOST_CHUNKS, LONGEST_CHUNK = 400_000, 64
-# Characters of texts that are split at a time.
-GROUP = 2_000_000
+# Bytes of texts that are split at a time.
+GROUP = 8_000_000
+
+
+def chunk_starts(data: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
+    """Where chunks start in the UTF-8 bytes of texts that lie end to end.
+
+    A space between two characters that are not white space starts a new match of the usual
+    byte-level patterns, whatever stands before it, and no match reaches across it. Spaces
+    beside control characters, or beside characters whose first byte is that of some white
+    space, are left within chunks, which is always right.
+    """
+    starts = np.zeros(len(data) + 1, dtype=bool)
+    starts[text_starts] = True
+    space = np.flatnonzero(data[1:-1] == 0x20) + 1
+    before, after = data[space - 1], data[space + 1]
+    wide = lambda lead: (lead >= 0xE1) & (lead <= 0xE3)  # noqa: E731  (three bytes)
+    safe = (before > 0x20) & (after > 0x20) & (after != 0xC2) & ~wide(after) & ~starts[space + 1]
+    safe &= ~((before >= 0x80) & ((data[space - 2] == 0xC2) | wide(data[np.maximum(space - 3, 0)])))
+    starts[space[safe]] = True
+    return np.flatnonzero(starts[:-1])
 
 
 class ChunkEncoder:
-    """Encodes whole texts, each distinct chunk once; ids come as little-endian uint32 bytes.
+    """Encodes whole texts, each distinct chunk of a group once.
 
-    ``encode`` takes a list of strings and gives the bytes of each one's ids. When a
-    generation of known chunks is full, those met again move on to the next one.
+    ``encode`` takes a list of strings and gives the bytes of each one's ids, as
+    little-endian uint32. Chunks that were met before are looked up; when a generation of
+    known chunks is full, those met again move on to the next one.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]]):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
         self.encode = encode
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
-    def _group(self, texts: list[str]) -> Iterator[bytes]:
-        split = [_SAFE_SPACE.split(t) for t in texts]
+    def _ids(self, chunks: list[bytes]) -> list[bytes]:
         if len(self.known) > MOST_CHUNKS:
             self.known, self.older = {}, self.known
-        known = self.known
-        missing: set[str] = set()
-        for _, *rest in split:
-            missing.update(set(rest).difference(known))
-        again = missing.intersection(self.older)
-        known.update((c, self.older[c]) for c in again)
-        new = list(missing - again)
-        known.update(zip(new, self.encode([" " + c for c in new])))
-        firsts = self.encode([first for first, *_ in split])
-        for start, (_, *rest) in zip(firsts, split):
-            yield b"".join([start, *map(known.__getitem__, rest)])
-        for c in new:
-            if len(c) > LONGEST_CHUNK:
-                del known[c]
-
-    def __call__(self, texts: Iterable[str]) -> Iterator[bytes]:
-        """The ids of each text, in order."""
-        group, size = [], 0
-        for t in texts:
-            group.append(t)
-            size += len(t)
-            if size >= GROUP:
-                yield from self._group(group)
-                group, size = [], 0
-        yield from self._group(group)
+        known, older = self.known, self.older
+        found = [known.get(c) for c in chunks]
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        new = []
+        for i in missing:
+            found[i] = older.get(chunks[i])
+            (new.append(i) if found[i] is None else known.__setitem__(chunks[i], found[i]))
+        for i, ids in zip(new, self.encode([chunks[i].decode() for i in new])):
+            found[i] = ids
+            if len(chunks[i]) <= LONGEST_CHUNK:
+                known[chunks[i]] = ids
+        return found
+
+    def _group(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts end to end, and where each text's begin (and the last ends)."""
+        texts = texts.cast(pa.large_binary()).fill_null(b"")
+        offsets = np.frombuffer(texts.buffers()[1], "<i8")[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+        if not len(data):
+            return np.empty(0, "<u4"), np.zeros(len(offsets), dtype=np.int64)
+        at = offsets - offsets[0]
+        starts = chunk_starts(data, at[:-1][at[:-1] < at[1:]])
+        bounds = np.append(starts, len(data))
+        chunks = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+        coded = chunks.dictionary_encode()
+        ids = pa.array(self._ids(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
+        ends = np.frombuffer(ids.buffers()[1], "<i8")[: len(ids) + 1]
+        whole = np.frombuffer(ids.buffers()[2] or b"", "<u4", ends[-1] // 4)
+        return whole, ends[np.searchsorted(bounds, at)] // 4
+
+    def groups(self, texts: pa.Array | list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For groups of texts in order: their ids end to end, and the bounds of each text's."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if not len(texts):
+            return
+        lengths = np.cumsum(np.asarray(pa.compute.binary_length(texts).fill_null(0)).astype(np.int64))
+        cuts = np.flatnonzero(np.diff(lengths // GROUP)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)]):
+            yield self._group(texts.slice(a, b - a))
+
+    def __call__(self, texts: pa.Array | list[str]) -> Iterator[bytes]:
+        """The ids of each text, in order, as bytes."""
+        for whole, bounds in self.groups(texts):
+            line, at = whole.tobytes(), (4 * bounds).tolist()
+            for a, b in zip(at, at[1:]):
+                yield line[a:b]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from portolan.llm.chunks import ChunkEncoder
-from portolan.llm.ranks import number_within
+from portolan.llm.ranks import ROWS_PER_BUCKET, number_within
 from portolan.sources.scratch import store
 
 BATCH_ROWS, BATCH_BYTES = 4096, 8 << 20
@@ -88,7 +88,7 @@ def token_pieces(
                     names=schema.names,
                 )
 
-            for row, encoded in enumerate(encode(t.as_py() or "" for t in batch.column(1))):
+            for row, encoded in enumerate(encode(batch.column(1))):
                 whole = encoded + tail
                 total = len(whole) // 4
                 ends = range(total % capacity or capacity, total + 1, capacity) if total > capacity else [total]
@@ -178,7 +178,9 @@ def pack(pieces: DataFrame, identity: Sequence[str] = ("doc_id", "piece"), capac
     stored = store(pieces.select(*kept), "pieces")
     counts = {r["length"]: r["count"] for r in stored.groupBy("length").count().collect()}
     plan = best_fit_plan(counts, capacity)
-    ranked = number_within(stored, "length", list(identity), counts, "rank")
+    # So many buckets that a frequent length is spread over all tasks of a shuffle.
+    tasks = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranked = number_within(stored, "length", list(identity), counts, "rank", min(ROWS_PER_BUCKET, max(64, sum(counts.values()) // tasks)))
     if not plan:
         return ranked.select(*kept, F.lit(None).cast("long").alias("sequence_id"), F.lit(None).cast("long").alias("offset"))
     slots = stored.sparkSession.createDataFrame(

@@ -6,6 +6,9 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import re
+
+import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
@@ -82,3 +85,24 @@ def test_crc_and_empty_table(documents):
     assert packed.count() == 0 and {"sequence_id", "offset"} <= set(packed.columns)
     row = P.token_pieces(documents([(1, "hi")]), FILE).selectExpr("crc32(ids) AS c", "ids").first()
     assert row["c"] == zlib.crc32(row["ids"])
+
+
+def test_chunks_start_at_safe_spaces_only():
+    """Beside every white space, and at the ends of texts that lie side by side."""
+    from portolan.llm.chunks import chunk_starts
+
+    spaces = [c for c in map(chr, range(0x3001)) if c.isspace()]
+    letters = ["a", "é", "ß", "«", "中", "€", "😀", "́"]
+    texts = [f"x{a} {b}y" for a in spaces + letters for b in spaces + letters] + [" a", "a ", " ", "", "a  b", "  "]
+    at, safe = 0, set()
+    for t in texts:
+        for m in re.finditer(r"(?<=\S) (?=\S)", t):
+            safe.add(at + len(t[: m.start()].encode()))
+        at += len(t.encode())
+    data = "".join(texts).encode()
+    ends = np.cumsum([len(t.encode()) for t in texts])
+    starts = np.r_[0, ends[:-1]]
+    found = set(chunk_starts(np.frombuffer(data, np.uint8), starts[starts < ends]).tolist())
+    assert found - set(starts.tolist()) <= safe
+    words = "the cat été ß l'eau".encode()
+    assert chunk_starts(np.frombuffer(words, np.uint8), np.array([0])).tolist() == [0, 3, 7, 13, 16]

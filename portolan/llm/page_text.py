@@ -26,8 +26,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 CONTAINERS = frozenset("article body center div main section td".split())
 DROPPED = frozenset(
-    "aside audio button canvas datalist dialog embed footer form head header iframe input label math menu nav noembed"
-    " noframes noscript object script search select style svg template textarea title video xmp".split()
+    "aside audio button datalist dialog embed footer form head header iframe input label menu nav noembed"
+    " noframes noscript script search select style svg template textarea title video xmp".split()
 )
 # A start tag closes an open element of these, up to the nearest of the second set.
 CLOSES = {t: ({"p"}, {"button", "td", "th", "table"}) for t in BLOCKS - {"br", "body", "html", "head", "option", "tbody", "td", "th", "tr", "title"}} | {
@@ -35,7 +35,8 @@ CLOSES = {t: ({"p"}, {"button", "td", "th", "table"}) for t in BLOCKS - {"br", "
     "tr": ({"tr", "td", "th", "p"}, {"table"}), "td": ({"td", "th", "p"}, {"tr", "table"}), "th": ({"td", "th", "p"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}), "body": ({"head"}, set()),
 }
-# Words in classes, ids and roles of what is not the article.
+# Words in classes, ids and roles of what is not the article. They count if the name they
+# are part of has just such words and those of layout: "search-box", not "search-term".
 OTHER_WORDS = frozenset(
     "ad ads adsense advert advertisement advertising adverts alert banner breadcrumb breadcrumbs byline comment commentary"
     " comments complementary consent contentinfo cookie cookies copyright dialog discussion disqus footer form gdpr header"
@@ -43,16 +44,24 @@ OTHER_WORDS = frozenset(
     " promoted promotion related reply replies respond responses search share sharing sidebar signup skip social sponsor"
     " sponsored subscribe toolbar widget widgets".split()
 )
+LAYOUT_WORDS = frozenset(
+    "area article articles bar block bottom box button buttons col column container desktop entry fixed form global group"
+    " header home icons inner item items layout left link links list main mobile module outer page panel post posts primary"
+    " right row secondary section site slot small sticky stories sub top unit wrap wrapper".split()
+)
 ARTICLE_WORDS = frozenset("article body content entry main post story text".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
-    re.S,
-)
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_QUOTED = re.compile(r"((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+# Tags whose quotes do not close before the page ends are read up to the next ">"; a page
+# with so many of them is read without regard to quotes, as each costs a look at its rest.
+_BROKEN_QUOTES = 8
 _MARK = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PART = re.compile(r"[a-z]+|\d+")
 _LONGEST_PATH = 400
+# A host's paths are those that at least one in LAYOUTS of its pages votes for, two at least,
+# and the one with most votes.
+LAYOUTS = 5
 
 
 @dataclass(slots=True)
@@ -61,19 +70,53 @@ class Element:
     parent: Element | None
     path: str
     dropped: bool
+    box: Element | None = None  # the nearest container, itself included
     weight: int = 0  # of a container: score per character
     score: int = 0
     linked: bool = False
 
 
-def _marks(attributes: str) -> tuple[str, set[str]]:
-    """Classes (else the id) with digits generalised, and the words of classes, id and role."""
+def _marks(attributes: str, other_words: frozenset[str]) -> tuple[str, set[str], bool]:
+    """Classes (else the id) with digits generalised, the words of classes, id and role, and
+    whether one of these names something else than the article."""
     found: dict[str, str] = {}
     for name, a, b, c in _MARK.findall(attributes):
         found.setdefault(name.lower(), html.unescape(a or b or c).lower())
     named = sorted(set(found.get("class", "").split())) or found.get("id", "").split()
-    words = set(_PART.findall(" ".join(found.values())))
-    return "".join("." + re.sub(r"\d+", "#", n) for n in named), words
+    words, other = set(), False
+    for name in " ".join(found.values()).split():
+        parts = {p for p in _PART.findall(name) if not p.isdigit()}
+        other |= bool(parts & other_words) and parts <= other_words | LAYOUT_WORDS
+        words |= parts
+    return "".join("." + re.sub(r"\d+", "#", n) for n in named), words, other
+
+
+def _tokens(source: str) -> Iterator[tuple[int, int, bool, str, str]]:
+    """start, end, whether it ends an element, name and attributes of the tags of a page, in
+    one pass; comments and declarations have no name. The caller may send a place to go on from."""
+    at, last, broken = 0, source.rfind(">"), 0
+    while (start := source.find("<", at)) >= 0:
+        at = start + 1
+        if source.startswith("<!--", start):
+            end = source.find("-->", start + 4)
+            at = end + 3 if end >= 0 else len(source)
+            yield start, at, False, "", ""
+            continue
+        if source[at : at + 1] in ("!", "?"):
+            end = source.find(">", at)
+            at = end + 1 if end >= 0 else len(source)
+            yield start, at, False, "", ""
+            continue
+        if at > last or not (m := _NAME.match(source, at)):
+            continue  # a tag that never ends is text, as other signs are
+        rest = _QUOTED.match(source, m.end()) if broken < _BROKEN_QUOTES else None
+        if rest:
+            attributes, at = rest[1], rest.end()
+        else:
+            broken += 1
+            end = source.find(">", m.end())
+            attributes, at = source[m.end() : end], end + 1
+        at = (yield start, at, bool(m[1]), m[2].lower(), attributes) or at
 
 
 class Page:
@@ -81,66 +124,73 @@ class Page:
     edge of a block. ``forms`` tells whether forms are dropped."""
 
     def __init__(self, source: str, forms: bool = True):
-        self.root = Element("", None, "", False, 1)
+        self.root = Element("", None, "", False, weight=1)
+        self.root.box = self.root
         self.containers = [self.root]
         self.parts: list[tuple[Element | None, str]] = []
         stack, at = [self.root], 0
+        places: dict[str, list[int]] = {}  # where elements of each name are in the stack
         dropped = DROPPED if forms else DROPPED - {"form"}
-        words_out = OTHER_WORDS if forms else OTHER_WORDS - {"form"}
+        other_words = OTHER_WORDS if forms else OTHER_WORDS - {"form"}
 
         def text(until: int) -> None:
             if until > at:
                 run = source[at:until]
                 self.parts.append((stack[-1], html.unescape(run) if "&" in run else run))
 
+        def nearest(tags) -> int:
+            return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
+        def cut(last: int) -> None:
+            for e in stack[last:]:
+                places[e.tag].pop()
+            del stack[last:]
+
         def close(tags: set[str], stops: set[str]) -> None:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in tags:
-                    last = i
-                    while last > 1 and stack[last - 1].tag in tags and stack[last - 1].tag not in stops:
-                        last -= 1
-                    del stack[last:]
-                    return
-                if stack[i].tag in stops or stack[i].tag in CONTAINERS:
-                    return
-
-        position = 0
-        while (m := _TOKEN.search(source, position)) is not None:
-            text(m.start())
-            at = position = m.end()
-            ending, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
-            if not name:
+            last = nearest(tags)
+            if last and last >= nearest(stops) and last >= nearest(CONTAINERS):
+                while last > 1 and stack[last - 1].tag in tags and stack[last - 1].tag not in stops:
+                    last -= 1
+                cut(last)
+
+        tokens, sent = _tokens(source), None
+        while True:
+            try:
+                start, end, ending, tag, attributes = tokens.send(sent)
+            except StopIteration:
+                break
+            sent = None
+            text(start)
+            at = end
+            if not tag:
                 continue
-            tag = name.lower()
             if tag in BLOCKS:
                 self.parts.append((None, " "))
             if ending:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag == tag:
-                        del stack[i:]
-                        break
-                    if tag not in CONTAINERS and tag not in ("html", "table") and stack[i].tag in ("article", "main", "body", "td"):
-                        break  # a stray end tag does not close what is around it
+                found = nearest((tag,))
+                # A stray end tag does not close what is around it.
+                if found and (tag in CONTAINERS or tag in ("html", "table") or found >= nearest(("article", "main", "body", "td"))):
+                    cut(found)
                 continue
             if tag in CLOSES:
                 close(*CLOSES[tag])
-            label, words = _marks(attributes) if attributes else ("", set())
+            label, words, other = _marks(attributes, other_words) if attributes else ("", set(), False)
             parent = stack[-1]
             path = f"{parent.path}/{tag}{label}"
             if len(path) > _LONGEST_PATH:
                 path = "~" + xxhash.xxh64_hexdigest(path)
-            out = parent.dropped or tag in dropped or (tag not in ("html", "body", "main", "article") and bool(words & words_out))
-            element = Element(tag, parent, path, out, linked=parent.linked or tag == "a")
+            out = parent.dropped or tag in dropped or (other and tag in BLOCKS and tag not in ("html", "body", "main", "article"))
+            element = Element(tag, parent, path, out, parent.box, linked=parent.linked or tag == "a")
             if tag in CONTAINERS and not out:
                 element.weight = 8 if tag == "article" else 5 if tag == "main" else 3 if words & ARTICLE_WORDS else 2
+                element.box = element
                 self.containers.append(element)
             if tag in RAW:
-                end = re.compile(f"</{tag}(?=[\\s/>])|</{tag}\\Z", re.I).search(source, position)
-                at = position = end.start() if end else len(source)
-                if end:
-                    close_at = source.find(">", position)
-                    at = position = close_at + 1 if close_at >= 0 else len(source)
+                closing = re.compile(f"</{tag}(?=[\\s/>])|</{tag}\\Z", re.I).search(source, end)
+                close_at = source.find(">", closing.start()) if closing else -1
+                at = sent = close_at + 1 if close_at >= 0 else len(source)
             elif tag not in VOID and not attributes.endswith("/") or tag in CONTAINERS:
+                places.setdefault(tag, []).append(len(stack))
                 stack.append(element)
         text(len(source))
 
@@ -150,12 +200,12 @@ class Page:
         for element, run in self.parts:
             if element is None or element.dropped or element.linked:
                 continue
-            worth, found = len(run.strip()) * 16, 0
-            while element is not None and worth and found < 5:
-                if element.weight:
-                    element.score += worth * element.weight
-                    worth, found = worth // 2, found + 1
-                element = element.parent
+            worth, box = len(run.strip()) * 16, element.box
+            for _ in range(5):
+                box.score += worth * box.weight
+                if box.parent is None:
+                    break
+                worth, box = worth // 2, box.parent.box
         return max(self.containers, key=lambda c: c.score)  # the first of equals
 
     def inside(self, path: str) -> str:
@@ -194,9 +244,10 @@ def host_of(url_col: str) -> Column:
 
 
 def host_paths(pages: DataFrame, html_col: str) -> DataFrame:
-    """host, path: the container path that most of the host's pages score best.
+    """host, paths: the container paths that the host's pages score best, most votes first.
 
     Each page has one vote; of equal votes the greater score counts, then the path by name.
+    Pages without a host do not vote.
     """
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,22 +259,42 @@ def host_paths(pages: DataFrame, html_col: str) -> DataFrame:
                 names=["host", "path", "score"],
             )
 
-    votes = pages.select("host", F.col(html_col).cast("string")).mapInArrow(vote, "host string, path string, score long")
+    votes = pages.filter("host <> ''").select("host", F.col(html_col).cast("string")).mapInArrow(vote, "host string, path string, score long")
     counted = votes.groupBy("host", "path").agg(F.count("*").alias("votes"), F.sum("score").alias("score"))
-    return counted.groupBy("host").agg(F.max(F.struct("votes", "score", "path"))["path"].alias("path"))
+    most = counted.groupBy("host").agg(F.sum("votes").alias("all"), F.max(F.struct("votes", "score", "path"))["path"].alias("first"))
+    layouts = lookup_join(counted, most, ["host"]).filter(
+        (F.col("path") == F.col("first")) | ((F.col("votes") > 1) & (F.col("votes") * LAYOUTS >= F.col("all")))
+    )  # LAYOUTS a host at most
+    ordered = F.sort_array(F.collect_list(F.struct("votes", "score", "path")), asc=False)
+    return layouts.groupBy("host").agg(F.transform(ordered, lambda x: x["path"]).alias("paths"))
+
+
+def article(page: Page, paths: list[str] | None) -> str:
+    """The text at the path of ``paths`` that scores best on the page, or at its own best
+    container if none of them has text there."""
+    own = page.best()
+    if paths:
+        agreed = sorted((c for c in page.containers if c.path in paths), key=lambda c: -c.score)
+        for path in dict.fromkeys(c.path for c in agreed):
+            if found := page.inside(path):
+                return found
+    return page.inside(own.path)
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``id_col``, ``url_col`` and text: the main text of every page, empty if it has none.
 
     Containers of each page are scored, and the pages of a host vote on the path of tags
-    and classes (digits generalised) of the best one; then each page is read again at its
-    host's path, or at its own best where it has no container there. Menus, headers,
-    footers, sidebars, notices, adverts, forms, scripts, styles and reader comments inside
-    the container are dropped. Character references are decoded, white space in a block
-    is one space, blocks are joined by one space. Pages without a host vote together; null
-    html is an empty page. Broken markup is read as far as it goes. Repeated rows vote and
-    return as often as they occur; an empty table gives no rows.
+    and classes (digits generalised) of the best one. Paths with a good share of a host's
+    votes, so that it may have several layouts, are its own; each page is read again at the
+    one of them that scores best on it, or at its own best container where none has text
+    there or the page has no host. Menus, headers, footers, sidebars, notices, adverts,
+    forms, scripts, styles and reader comments inside the container are dropped, known by
+    their elements or by names made of such words alone. Character references are decoded,
+    white space in a block is one space, blocks are joined by one space. Null html is an
+    empty page. Broken markup is read as far as it goes, in time in proportion to its
+    length. Of pages alike each votes and returns a row; an empty table gives none. Other
+    columns are not read, whatever their names.
     """
     rows = pages.select(F.col(id_col), F.col(url_col), F.col(html_col).cast("string").alias("_html"), host_of(url_col).alias("host"))
     paths = store(host_paths(rows, "_html"), "host-paths")
@@ -232,12 +303,9 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for source, path in zip(batch.column(2), batch.column(3)):
-                page, agreed = read(source.as_py()), path.as_py()
-                if agreed is None or all(c.path != agreed for c in page.containers):
-                    agreed = page.best().path
-                texts.append(page.inside(agreed))
+            for source, paths in zip(batch.column(2), batch.column(3)):
+                texts.append(article(read(source.as_py()), paths.as_py()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=schema.names)
 
     joined = lookup_join(rows, paths, ["host"], "left")
-    return joined.select(id_col, url_col, "_html", "path").mapInArrow(extract, schema)
+    return joined.select(id_col, url_col, "_html", "paths").mapInArrow(extract, schema)

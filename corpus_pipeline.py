@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portolan.llm import language, packing, secret_scan, simhash, site_quality
@@ -15,13 +15,19 @@ LEAST_SHARE = 0.5
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; null texts and texts without letters go."""
+    """Documents whose language is recognised; null texts and texts without letters go.
+
+    Repeated rows stay or go alike; an empty table gives none.
+    """
     found = language.detect_languages(docs, keep=list(COLUMNS))
     return found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select(*COLUMNS)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on ``labels``, keeps."""
+    """Documents that the classifier, fitted on ``labels``, keeps.
+
+    Repeated rows stay or go alike; an empty table gives none.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return site_quality.classify_quality(docs, labels, keep=COLUMNS).filter("kept").select(*COLUMNS)
 
@@ -29,14 +35,11 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates.
 
-    Rows that share an id are one document, of which one row stays, the first by its text;
-    rows without an id cannot be named and stay.
+    Of rows alike in id and fingerprint one stays, the first by text; an id on texts of
+    several groups may stay for each of them. Rows without an id cannot be named and stay.
+    Repeated rows are one; an empty table gives none.
     """
-    groups = simhash.near_duplicates(docs, shingle=3, bits=2)
-    first = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct().withColumn("_first", F.lit(True))
-    joined = docs.select(*COLUMNS).join(first, "doc_id", "left").filter("_first OR doc_id IS NULL")
-    again = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "lang", "source"))
-    return joined.withColumn("_again", F.when(F.col("doc_id").isNotNull(), again)).filter("_again = 1 OR doc_id IS NULL").select(*COLUMNS)
+    return simhash.one_of_each_group(docs.select(*COLUMNS), shingle=3, bits=2)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +54,10 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 2,048 tokens and their places in sequences."""
+    """Pieces of at most 2,048 tokens and their places in sequences.
+
+    Null texts are one token, repeated rows have their own places; no documents, no pieces.
+    """
     pieces = packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=2048)
     narrow = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").cast("long").alias("ids_crc32"))
     return packing.pack(narrow, capacity=2048)

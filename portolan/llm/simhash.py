@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from portolan.llm.components import components
+from portolan.operators.lookup import lookup_join
 from portolan.sources.scratch import store
 
 SEED = 42
 # The tree is built on about SAMPLE distinct fingerprints, drawn by hash, so that a shard
 # is expected to hold SHARD of all fingerprints; every fingerprint is then placed by it.
-SAMPLE, SHARD = 32_768, 4_096
+SAMPLE, SHARD, SPLIT = 32_768, 4_096, 4
 _BLOCK = 256
 
 
@@ -41,16 +43,17 @@ def fingerprint(text: str, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """``id_col`` and fingerprint (the 64 bits as a signed long) of every row."""
-    schema = T.StructType([docs.schema[id_col], T.StructField("fingerprint", T.LongType())])
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int, keep: Sequence[str] | None = None) -> DataFrame:
+    """``keep`` (by default ``id_col``) and fingerprint (the 64 bits as a signed long) of every row."""
+    keep = [id_col] if keep is None else list(keep)
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("fingerprint", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t.as_py() or "", shingle) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=schema.names)
+            found = np.array([fingerprint(t.as_py() or "", shingle) for t in batch.column(len(keep))], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(found.view(np.int64))], names=schema.names)
 
-    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col(text_col).cast("string").alias("_text_of_print")).mapInArrow(run, schema)
 
 
 def distance(a: np.ndarray, b: np.ndarray | np.uint64) -> np.ndarray:
@@ -168,7 +171,9 @@ def link_fingerprints(distinct: DataFrame, bits: int, sample: int = SAMPLE, shar
     Fingerprints go to the shards of a vantage-point tree, those near a boundary to several.
     A shard gives one edge per connected fingerprint, to its root there, not all pairs:
     as connected, and as few as the rows it has read. Shards are then joined over common
-    fingerprints.
+    fingerprints. A shard that has grown beyond SPLIT times its size, as fingerprints that
+    no vantage point tells apart may make it, is cut into blocks, and each two of them are
+    searched together, so that a task holds no more than that many.
     """
     spark = distinct.sparkSession
     total = distinct.count()
@@ -188,9 +193,20 @@ def link_fingerprints(distinct: DataFrame, bits: int, sample: int = SAMPLE, shar
         nodes, roots = local_links(group.column("fingerprint").to_numpy().view(np.uint64), bits)
         return pa.table({"u": nodes.view(np.int64), "v": roots.view(np.int64)})
 
-    dealt = distinct.select("fingerprint").mapInArrow(deal, "shard int, fingerprint long")
-    edges = dealt.groupBy("shard").applyInArrow(link, "u long, v long")
-    return components(edges)
+    dealt = store(distinct.select("fingerprint").mapInArrow(deal, "shard int, fingerprint long"), "shards")
+    return components(in_blocks(dealt, shard).groupBy("shard", "a", "b").applyInArrow(link, "u long, v long"))
+
+
+def in_blocks(dealt: DataFrame, shard: int) -> DataFrame:
+    """shard, a, b, fingerprint: the groups to search. Most shards are one group; the blocks
+    of a large one meet in pairs."""
+    large = dealt.groupBy("shard").count().filter(F.col("count") > SPLIT * shard)
+    large = large.select("shard", F.ceil(F.col("count") / (SPLIT * shard // 2)).cast("int").alias("blocks"))
+    cut = lookup_join(dealt, large, ["shard"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    own = F.pmod(F.xxhash64("fingerprint", F.lit(SEED)), F.col("blocks")).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: (j != F.col("own")) | (F.col("blocks") == 1))
+    pairs = F.transform(others, lambda j: F.struct(F.least("own", j).alias("a"), F.greatest("own", j).alias("b")))
+    return cut.withColumn("own", own).select("shard", "fingerprint", F.inline(pairs))
 
 
 def near_duplicates(
@@ -206,13 +222,48 @@ def near_duplicates(
     no rows. Columns other than the two named are not read.
     """
     rows = store(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    return rows.join(classes(rows, id_col, bits), "fingerprint").select(
+        id_col, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def classes(rows: DataFrame, id_col: str, bits: int) -> DataFrame:
+    """fingerprint, root and component_id: the group of each distinct fingerprint of ``rows``,
+    by its least fingerprint and its smallest id. Stored."""
     distinct = store(rows.groupBy("fingerprint").agg(F.min(id_col).alias("first")), "distinct-fingerprints")
     linked = store(link_fingerprints(distinct, bits), "linked-fingerprints")
     linked = linked.select(F.col("node").alias("fingerprint"), "root")
     firsts = linked.join(distinct, "fingerprint").groupBy("root").agg(F.min("first").alias("least"))
-    classes = distinct.join(linked.join(firsts, "root").drop("root"), "fingerprint", "left").select(
-        "fingerprint", F.coalesce("least", "first").alias("component_id")
-    )
-    return rows.join(store(classes, "fingerprint-classes"), "fingerprint").select(
-        id_col, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+    grouped = distinct.join(linked.join(firsts, "root"), "fingerprint", "left").select(
+        "fingerprint", F.coalesce("root", "fingerprint").alias("root"), F.coalesce("least", "first").alias("component_id")
     )
+    return store(grouped, "fingerprint-classes")
+
+
+def one_of_each_group(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, bits: int = 2
+) -> DataFrame:
+    """The rows of ``docs`` that stay if one document of each group of near-duplicates does.
+
+    That is the document with the group's smallest id; if several texts of the group have
+    that id, the one of the least fingerprint. Of rows alike in id and fingerprint one
+    stays, the first by text and then by the other columns. Rows without an id cannot be
+    named and stay. Representatives are chosen on ids and fingerprints; a text is not moved
+    where the table of them can be broadcast.
+    """
+    names, docs = docs.columns, docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
+    id_col, text_col = (docs.columns[names.index(c)] for c in (id_col, text_col))
+    marked = store(fingerprints(docs, id_col, text_col, shingle, keep=docs.columns), "documents")
+    named = marked.filter(F.col(id_col).isNotNull())
+    known = classes(named.select(id_col, "fingerprint"), id_col, bits)
+    counted = named.groupBy(id_col, "fingerprint").agg(F.count("*").alias("_rows"))
+    # A group's smallest id may have several of its fingerprints; the least of them stands.
+    firsts = counted.join(known.filter("component_id IS NOT NULL"), "fingerprint").filter(F.col(id_col) == F.col("component_id"))
+    firsts = firsts.groupBy("root", id_col).agg(F.min(F.struct("fingerprint", "_rows")).alias("x")).select(id_col, "x.*")
+    kept = lookup_join(named, store(firsts, "representatives"), [id_col, "fingerprint"])
+    order = [text_col, *[c for c in docs.columns if c not in (id_col, text_col)]]
+    place = F.row_number().over(Window.partitionBy(id_col, "fingerprint").orderBy(*order))
+    once = kept.filter("_rows > 1").withColumn("_place", place).filter("_place = 1")
+    rest = marked.filter(F.col(id_col).isNull())
+    parts = [df.select(*docs.columns) for df in (kept.filter("_rows = 1"), once, rest)]
+    return reduce(DataFrame.unionByName, parts).toDF(*names)

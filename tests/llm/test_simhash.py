@@ -118,3 +118,54 @@ def test_documents(spark, documents):
 def test_type_of_ids_is_kept(spark):
     docs = spark.createDataFrame([("b", "x y z"), ("a", "x y z")], T.StructType([T.StructField("doc_id", T.StringType()), T.StructField("text", T.StringType())]))
     assert {r["component_id"] for r in S.near_duplicates(docs).collect()} == {"a"}
+
+
+def ball(seed, n):
+    """Fingerprints within four bits of one, which no vantage point tells apart well."""
+    r = random.Random(seed)
+    points = set()
+    while len(points) < n:
+        p = 0x0123456789ABCDEF
+        for bit in r.sample(range(64), r.randint(0, 4)):
+            p ^= 1 << bit
+        points.add(p)
+    return sorted(points)
+
+
+def test_a_ball_of_a_third_of_all_fingerprints(spark):
+    points = sorted(set(ball(1, 500)) | set(clusters(2, 300, 20)))
+    signed = np.array(points, dtype=np.uint64).view(np.int64).tolist()
+    table = spark.createDataFrame([(p,) for p in signed], "fingerprint long").repartition(4)
+    got = {r["node"]: r["root"] for r in S.link_fingerprints(table, 2, sample=2000, shard=40).collect()}
+    back, want, groups, found = dict(zip(signed, points)), plain_roots(points, 2), {}, {}
+    for p, r in want.items():
+        groups.setdefault(r, set()).add(p)
+    for n, r in got.items():
+        found.setdefault(r, set()).add(back[n])
+    assert sorted(map(sorted, found.values())) == sorted(sorted(g) for g in groups.values() if len(g) > 1)
+
+
+def test_large_shards_are_cut(spark):
+    dealt = spark.createDataFrame([(0, i) for i in range(2000)] + [(1, i) for i in range(50)], "shard int, fingerprint long")
+    cut = S.in_blocks(dealt, 40).collect()
+    groups = {}
+    for r in cut:
+        groups.setdefault((r["shard"], r["a"], r["b"]), set()).add(r["fingerprint"])
+    assert max(map(len, groups.values())) < 40 * S.SPLIT * 1.5 and groups[1, 0, 0] == set(range(50))
+    members = [g for (s, _, _), g in groups.items() if s == 0]
+    assert all(any(a in g and b in g for g in members) for a in range(0, 2000, 211) for b in range(0, 2000, 97))
+
+
+def test_one_of_each_group(spark, documents):
+    text = {k: " ".join(f"{k}{i}" for i in range(80)) for k in "abc"}
+    rows = [
+        (3, text["a"]), (5, text["a"]), (5, text["b"]), (7, text["b"]), (5, text["b"]),  # 5 is a copy of 3, and first of its own
+        (3, text["c"]), (9, text["c"]), (None, text["a"]), (None, text["a"]), (None, None), (2, None), (4, ""), (11, "one two"),
+    ]
+    docs = documents(rows)
+    kept = sorted(((r["doc_id"], r["text"]) for r in S.one_of_each_group(docs).collect()), key=repr)
+    want = [(3, text["a"]), (5, text["b"]), (3, text["c"]), (None, text["a"]), (None, text["a"]), (None, None), (2, None), (11, "one two")]
+    assert kept == sorted(want, key=repr) and S.one_of_each_group(docs).columns == docs.columns
+    assert S.one_of_each_group(documents([])).count() == 0
+    many = documents([(1, text["a"])] * 300 + [(None, text["b"])] * 300)
+    assert S.one_of_each_group(many).count() == 301

@@ -49,3 +49,56 @@ def test_edges(spark, documents):
     assert S.classify_quality(documents([]), labels).count() == 0
     blind = S.classify_quality(documents(rows), labels.limit(0)).collect()
     assert all(r["doc_score"] == 0.5 and r["kept"] for r in blind)
+
+
+def test_fit_against_plain_descent():
+    """The weights are where the penalised log-likelihood is flat."""
+    draw = np.random.default_rng(1)
+    x = draw.normal(size=(300, 4)) * [1, 5, 0.1, 0] + [0, 3, 1, 2]
+    y = (draw.random(300) < 1 / (1 + np.exp(-(x[:, 0] - 0.4 * x[:, 1] + 1)))).astype(float)
+    ridge = np.array([1.0, 1.0, 30.0, 30.0])
+    w = S.fit_classifier(x, y, ridge)
+    scale = np.where(x.std(axis=0) == 0, 1, x.std(axis=0))
+    z, own = (x - x.mean(axis=0)) / scale, w[:-1] * scale
+    p = 1 / (1 + np.exp(-(x @ w[:-1] + w[-1])))
+    assert np.abs(z.T @ (y - p) - ridge * own).max() < 1e-4 and abs((y - p).sum()) < 1e-3
+    assert np.allclose(S.doc_scores(x, w), np.clip(p, 1e-4, 1 - 1e-4))
+
+
+def test_pull_against_plain_moments():
+    """Documents that the prior counts for, from the sums that Spark gives, against loops."""
+    draw = np.random.default_rng(2)
+    groups = [draw.beta(6, 3) + draw.normal(0, 0.1, size=n) for n in draw.integers(2, 60, 25)]
+    every = np.concatenate(groups)
+    total, overall = len(every), every.mean()
+    between = sum(len(g) * (g.mean() - overall) ** 2 for g in groups)
+    within = sum(((g - g.mean()) ** 2).sum() for g in groups)
+    noise = within / (total - len(groups))
+    spread = (between - (len(groups) - 1) * noise) / (total - sum(len(g) ** 2 for g in groups) / total)
+    sums, squares = [g.sum() for g in groups], [(g**2).sum() for g in groups]
+    explained = sum(s * s / len(g) for s, g in zip(sums, groups))
+    got = S._pull(overall, len(groups), total, sum(len(g) ** 2 for g in groups), explained - sum(sums) ** 2 / total, sum(squares) - explained, 1)
+    assert np.isclose(got, max(1.0, overall * (1 - overall) / spread - 1))
+    assert S._pull(0.5, 1, 10, 100, 0, 1, 1) == 1e9 and S._pull(0.5, 5, 50, 500, 0, 20, 1) == 1e9
+
+
+def test_features_of_a_text():
+    text = "One two two. ### Three\nOne two"
+    row = S._counted([text, None])[0]
+    words = text.lower().split()
+    shares = np.zeros(S.WORD_FEATURES)
+    for w in words:
+        shares[S.zlib.crc32(w.encode()) % S.WORD_FEATURES] += 1 / len(words)
+    assert np.allclose(row[11:], np.sqrt(shares)) and np.isclose(row[0], np.log(1 + len(words)))
+    assert np.isfinite(S._counted([None, "", "9" * 100_000])).all()
+
+
+def test_an_id_ten_thousand_times_is_one_example(spark):
+    """The rows that reach the driver are one for each labelled id."""
+    good, bad = "plain words of a text here. " * 8, "$$$ ### " * 30
+    rows = [(i, (good, bad)[i % 2] + str(i)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    hot = spark.range(10_000).select(F.lit(0).cast("long").alias("doc_id"), F.lit(rows[0][1]).alias("text"))
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(40)], "doc_id long, quality int")
+    once = S.fit_weights(docs, labels, "doc_id", "text", "quality")
+    assert np.allclose(once, S.fit_weights(docs.unionByName(hot), labels, "doc_id", "text", "quality"), atol=1e-5)

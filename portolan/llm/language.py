@@ -10,7 +10,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,16 +19,18 @@ from portolan.sources.scratch import store
 UNKNOWN = "und"
 LONGEST_GRAM = 5
 # The model is fitted on about this many documents of each language, the first by hash of
-# their id, and of this many languages at most, the most frequent ones.
-DOCUMENTS_PER_LANGUAGE, MOST_LANGUAGES = 4_000, 256
-# Entries of a table (words, or n-grams of one length): the most frequent ones up to this,
-# and fewer where there are many languages, so that the model stays within some 100 MB.
-MOST_ENTRIES, MOST_CELLS = 50_000, 2_000_000
+# their id; a parameter of :func:`fit`.
+DOCUMENTS_PER_LANGUAGE = 4_000
+# Entries of a table (words, or n-grams of one length): the most frequent ones of each
+# language up to its part of MOST_ENTRIES, and fewer where there are so many languages that
+# their product would exceed MOST_CELLS, but LEAST_ENTRIES of each language at least. With
+# that the model takes some 100 MB up to a few hundred languages, and grows slowly after.
+MOST_ENTRIES, MOST_CELLS, LEAST_ENTRIES = 50_000, 2_000_000, 24
 SMOOTHING = 0.5
 # Tasks that cut the words of the sample into n-grams; the sample is bounded, and so are they.
 GRAM_TASKS = 32
-# Words kept with their evidence, and characters of texts that are read at a time.
-MOST_CACHED, GROUP = 300_000, 1_000_000
+# Numbers kept as evidence of words met, and characters of texts that are read at a time.
+MOST_CACHED, GROUP = 4_000_000, 1_000_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -88,7 +90,7 @@ class Model:
         of one text do not tell independently. Ties go to the first language by name.
         """
         words = [words_of(t) if t else [] for t in texts]
-        if len(self.seen) > MOST_CACHED:
+        if len(self.seen) * len(self.languages) > MOST_CACHED:
             self._forget()
         if self.languages:
             self.look_up(set(chain.from_iterable(words)))
@@ -121,43 +123,35 @@ def _grouped(texts: Iterable[str | None]) -> Iterator[list[str | None]]:
         yield group
 
 
-def _most_frequent(items: DataFrame, by: list[str], most: int) -> DataFrame:
-    """Entries of the most frequent counts of each group of ``by``, ``most`` at most.
+def most_frequent(every: DataFrame, most: int) -> DataFrame:
+    """size and item of the ``most`` most frequent entries of each language and size (those
+    of fewer, all), ties by the entry itself.
 
-    The least count that is kept comes from the number of entries with each count: no
-    sort, and entries of equal count stay or go together.
+    Each language is ranked on its own, so a rare one keeps its words; a task drops what it
+    need not rank before the shuffle.
+    """
+    place = F.row_number().over(Window.partitionBy("size", "lang").orderBy(F.desc("n"), "item"))
+    ranked = every.withColumn("place", place).filter(F.col("place") <= most)
+    return ranked.select("size", "item").distinct()
+
+
+def fit(
+    docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+    documents_per_language: int = DOCUMENTS_PER_LANGUAGE,
+) -> Model:
+    """Count words and n-grams of a bounded sample of the labelled rows where ``learn`` holds.
+
+    Every language that a row is labelled with is learned.
     """
-    levels = items.groupBy(*by, "total").count().collect()  # few: counts repeat
-    least: dict = {}
-    for group in {tuple(r[b] for b in by) for r in levels}:
-        own = sorted((r for r in levels if tuple(r[b] for b in by) == group), key=lambda r: -r["total"])
-        kept, bound = 0, own[0]["total"] + 1
-        for r in own:
-            kept += r["count"]
-            if kept > most:
-                break
-            bound = r["total"]
-        least[group] = bound
-    keep = F.lit(False)
-    for group, bound in least.items():
-        chosen = F.col("total") >= bound
-        for b, value in zip(by, group):
-            chosen &= F.col(b) == value
-        keep |= chosen
-    return items.filter(keep)
-
-
-def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Count words and n-grams of a bounded sample of the labelled rows where ``learn`` holds."""
     labelled = docs.filter(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
         F.pmod(F.xxhash64(F.col(id_col)), F.lit(1_000_000)).alias("draw"),
     )
-    rows = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    rows = labelled.groupBy("lang").count().collect()
     languages = sorted(r["lang"] for r in rows)
     if not languages:
         return Model([], [{} for _ in range(LONGEST_GRAM + 1)], np.zeros((0, 0)))
-    share = {r["lang"]: min(1_000_000, -(-DOCUMENTS_PER_LANGUAGE * 1_000_000 // r["count"])) for r in rows}
+    share = {r["lang"]: min(1_000_000, -(-documents_per_language * 1_000_000 // r["count"])) for r in rows}
     shares = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])
     sample = labelled.filter(F.col("draw") < F.element_at(shares, F.col("lang")))
 
@@ -194,17 +188,21 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str =
     items = every.groupBy("size", "item").agg(
         F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")
     )
-    most = min(MOST_ENTRIES, MOST_CELLS // len(languages))
-    # A word seen once tells less than its n-grams do.
-    known = _most_frequent(items.filter((F.col("size") > 0) | (F.col("total") > 1)), ["size"], most).collect()
+    each = max(LEAST_ENTRIES, min(MOST_ENTRIES, MOST_CELLS // len(languages)) // len(languages))
+    # A word seen once in all tells less than its n-grams do.
+    chosen = most_frequent(every.join(items.filter((F.col("size") > 0) | (F.col("total") > 1)).select("size", "item"), ["size", "item"]), each)
+    known = items.join(chosen, ["size", "item"]).collect()
+    most = each * len(languages)
     tables: list[dict[str, int]] = [{} for _ in range(LONGEST_GRAM + 1)]
-    seen = np.zeros((len(known), len(languages)))
+    seen = np.zeros((len(known), len(languages)), dtype=np.float32)
+    number = {lang: i for i, lang in enumerate(languages)}
     per_size = np.array([[totals.get((size, lang), 0) for lang in languages] for size in range(LONGEST_GRAM + 1)])
     for at, r in enumerate(known):
         tables[r["size"]][r["item"]] = at
-        seen[at] = [r["by"].get(lang, 0) for lang in languages]
+        for lang, n in r["by"].items():
+            seen[at, number[lang]] = n
     sizes = np.array([r["size"] for r in known], dtype=int)
-    logs = np.log((seen + SMOOTHING) / (per_size[sizes] + SMOOTHING * most))
+    logs = np.log(seen + np.float32(SMOOTHING)) - np.log(per_size + SMOOTHING * most).astype(np.float32)[sizes]
     return Model(languages, tables, logs)
 
 
@@ -242,8 +240,10 @@ def detect_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     frequency per language; others by their longest known n-grams. lang_pred is ``und``
     with score 0 if the text is null, has no letter, or no language was learned. A text
     whose letters are all unknown gets the first language by name, at equal shares.
-    The label, source and id of a row are no input of its prediction. Repeated rows give
-    equal results; an empty table gives no rows.
+    The label, source and id of a row are no input of its prediction. Of languages that tie
+    the first by name is taken. Repeated rows count as often as they occur and give equal
+    results; an empty table gives no rows. Columns named as the results are replaced, and
+    others, whatever their names, are read only if they are in ``keep``.
     """
     model = fit(docs, ~held_out(id_col), id_col, text_col, lang_col)
     keep = [c for c in (keep or [id_col]) if c != "held_out"]

@@ -21,8 +21,9 @@ from portolan.sources.scratch import store
 SEED = 42
 # The tree is built on about SAMPLE distinct fingerprints, drawn by hash, so that a shard
 # is expected to hold SHARD of all fingerprints; every fingerprint is then placed by it.
-SAMPLE, SHARD, SPLIT = 32_768, 4_096, 4
-_BLOCK = 256
+SAMPLE, SHARD, SPLIT = 32_768, 4_096, 16
+# Points of a shard that are compared with the others at a time, and comparisons.
+_BLOCK, _CELLS = 256, 1 << 22
 
 
 def fingerprint(text: str, shingle: int = 3) -> int:
@@ -142,9 +143,10 @@ def local_links(points: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
         return span, distance(some[:, None], among[None, span]) <= bits
 
     linked = np.zeros(len(points), dtype=bool)
-    for i in range(0, len(points), _BLOCK):
-        _, hit = reached(points[i : i + _BLOCK], from_first[i : i + _BLOCK], points, from_first)
-        linked[i : i + _BLOCK] = hit.sum(axis=1) > 1
+    step = max(16, min(_BLOCK, _CELLS // len(points)))
+    for i in range(0, len(points), step):
+        _, hit = reached(points[i : i + step], from_first[i : i + step], points, from_first)
+        linked[i : i + step] = hit.sum(axis=1) > 1
     points, from_first = points[linked], from_first[linked]
     nodes, roots = [], []
     while len(points):
@@ -152,8 +154,8 @@ def local_links(points: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
         points, from_first = points[1:], from_first[1:]
         while len(wave) and len(points):
             got = np.zeros(len(points), dtype=bool)
-            for i in range(0, len(wave), _BLOCK):
-                span, hit = reached(wave[i : i + _BLOCK], wave_at[i : i + _BLOCK], points, from_first)
+            for i in range(0, len(wave), step):
+                span, hit = reached(wave[i : i + step], wave_at[i : i + step], points, from_first)
                 got[span] |= hit.any(axis=0)
             wave, wave_at, points, from_first = points[got], from_first[got], points[~got], from_first[~got]
             found.append(wave)

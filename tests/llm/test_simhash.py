@@ -136,7 +136,7 @@ def test_a_ball_of_a_third_of_all_fingerprints(spark):
     points = sorted(set(ball(1, 500)) | set(clusters(2, 300, 20)))
     signed = np.array(points, dtype=np.uint64).view(np.int64).tolist()
     table = spark.createDataFrame([(p,) for p in signed], "fingerprint long").repartition(4)
-    got = {r["node"]: r["root"] for r in S.link_fingerprints(table, 2, sample=2000, shard=40).collect()}
+    got = {r["node"]: r["root"] for r in S.link_fingerprints(table, 2, sample=2000, shard=12).collect()}
     back, want, groups, found = dict(zip(signed, points)), plain_roots(points, 2), {}, {}
     for p, r in want.items():
         groups.setdefault(r, set()).add(p)

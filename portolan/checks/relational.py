@@ -15,7 +15,6 @@ from portolan.operators import (
     Expectations,
     attach_surrogate_key,
     calendar_dimension,
-    category_pivot,
     column_range,
     column_summary,
     dedupe,

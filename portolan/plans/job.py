@@ -8,7 +8,6 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 import portolan
 from portolan import schema
@@ -19,6 +18,7 @@ from portolan.plans import star, summaries
 from portolan.schema import TableSpec
 from portolan.sources import read_parquet, write_partitioned, write_table
 from portolan.sources.fingerprints import fingerprint
+from portolan.sources.folders import remove_folder
 from portolan.sources.scratch import scratch_scope
 from portolan.sources.versions import VersionedTable
 
@@ -46,7 +46,6 @@ def publish(
     keep: bool = True,
     only_present: bool = False,
     append: bool = False,
-    checked: Sequence | None = None,
     **facts: object,
 ) -> DataFrame:
     """Gate ``df``, write it under ``root`` and return the written table.
@@ -57,17 +56,14 @@ def publish(
     ``keep`` holds a table in memory and on disk between gate and write; without it the
     gate is a second, column-pruned read of the sources, which is cheaper for a table as
     large as its source. ``only_present`` replaces just the partitions that occur in
-    ``df`` and ``append`` none. ``checked`` is the report of a gate that has been passed
-    already; ``facts`` go into the manifest.
+    ``df`` and ``append`` none; ``facts`` go into the manifest.
     """
     table = VersionedTable(df.sparkSession, table_path(spec, root))
     staged = table.stage()
     if keep:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows = df.count() if checked else next(
-            r["observed"] for r in enforce(run_checks(df, spec.name, spec.expectations)) if r["check"] == "has_rows"
-        )
+        checked = enforce(run_checks(df, spec.name, spec.expectations))
         if spec.partition_by:
             write_partitioned(df, staged, spec.partition_by, cluster_by=spec.cluster_by)
         else:
@@ -75,6 +71,7 @@ def publish(
     finally:
         if keep:
             df.unpersist()
+    rows = next(r["observed"] for r in checked if r["check"] == "has_rows")
     if read_parquet(df.sparkSession, staged, spec.schema).count() != rows:
         raise QualityError(f"{spec.name}: the written table does not hold the source's rows")
     mode = "append" if append else "replace_present" if only_present and spec.partition_by else "replace"
@@ -205,18 +202,27 @@ def rerun_months(records: DataFrame, root: str, year: int = 2016, **options: obj
     months share fails it, and the other months' rows are not read.
     """
     spark, spec = records.sparkSession, schema.IMMIGRATION
-    by = spec.partition_by
+    by, table = spec.partition_by, VersionedTable(spark, table_path(spec, root))
     airlines = extend_airlines(records, root)
-    fact = star.immigration_fact(records, airlines, year, **options)
     counts, keys = fact_states(spark, root)
-    new_counts, new_keys = check_state(fact, spec.expectations, by), key_state(fact, spec.expectations, by)
-    report = merged_report(replaced(counts, new_counts, by), replaced(keys, new_keys, by), spec.name, spec.expectations)
-    published = publish(fact, spec, root, keep=False, only_present=True, checked=enforce(report))
-    number = VersionedTable(spark, table_path(spec, root)).manifest().number
-    months = published.join(F.broadcast(fact.select(*by).distinct()), list(by), "left_semi")
-    _store_states(months.select(*spec.schema.names), root, "replace_present", number)
+    staged = table.stage()
+    with scratch_scope(spark):
+        fact = star.immigration_fact(records, airlines, year, **options)
+        write_partitioned(fact, staged, by, cluster_by=spec.cluster_by)
+        rows = fact.count()
+    new = read_parquet(spark, staged, spec.schema)  # the states come from the written rows
+    states = replaced(counts, check_state(new, spec.expectations, by), by), replaced(keys, key_state(new, spec.expectations, by), by)
+    try:
+        enforce(merged_report(*states, spec.name, spec.expectations))
+        if new.count() != rows:
+            raise QualityError(f"{spec.name}: the written table does not hold the source's rows")
+    except QualityError:
+        remove_folder(spark, staged)
+        raise
+    number = table.commit(staged, "replace_present").number
+    _store_states(new, root, "replace_present", number)
     summaries.refresh_summary(spark, root)
-    return published
+    return table.read(spec.schema)
 
 
 def check_merged(spark: SparkSession, root: str) -> DataFrame:

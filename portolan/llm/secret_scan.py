@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from portolan.operators.lookup import lookup_join
+from portolan.sources.folders import path_exists
 from portolan.sources.scratch import new_scratch_path, store
 
 
@@ -54,11 +55,6 @@ def blob_id(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
-
-
 def _findings(blobs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """blob, rule, kind, first, last of each match in ``blobs`` (blob, text, due).
 
@@ -107,7 +103,7 @@ def scan_versions(
     text = content(text_col)
     every = F.array(*map(F.lit, keys))
     marks = versions.select(blob_id(text).alias("blob")).distinct().withColumn("rules", every)
-    if _exists(spark, f"{ledger}/seen"):
+    if path_exists(spark, f"{ledger}/seen"):
         seen = spark.read.parquet(f"{ledger}/seen").groupBy("blob").agg(F.flatten(F.collect_set("rules")).alias("done"))
         none = F.lit([]).cast("array<string>")
         marks = marks.join(seen, "blob", "left").select("blob", F.array_except(every, F.coalesce("done", none)).alias("rules"))
@@ -137,7 +133,9 @@ def find_secrets(
     """``docs`` (or the columns ``keep`` of it) with the spans found in each row's text.
 
     Every path that ever held a content gets the content's findings; rows without any have
-    an empty array. Columns of ``docs`` named ``spans`` or ``_blob`` are replaced.
+    an empty array. Columns of ``docs`` named ``spans`` or ``_blob`` are replaced. Null
+    texts are empty. Repeated rows are scanned as one content and each return; an empty
+    table gives no rows.
     """
     held = store(scan_versions(docs, text_col, rules, ledger), "secret-spans")
     kept = [c for c in (keep or docs.columns) if c not in ("spans", "_blob")]

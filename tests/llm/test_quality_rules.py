@@ -59,3 +59,37 @@ def test_labelled_documents(spark):
     judged = Q.weak_supervision(spark.read.parquet(f"{folder}/documents.parquet")).join(labels, "doc_id").filter("NOT base_failed")
     wrong = judged.filter("kept <> (good = 1)").count()
     assert wrong <= 0.02 * judged.count()
+
+
+def plain_em(votes, rounds=100):
+    """Expectation maximisation document by document, in plain Python."""
+    from math import exp, log
+
+    rules, extra = len(votes[0]), Q.PRIOR_SHARE * len(votes)
+    on_good, on_bad, good = [Q.START_RIGHT_GOOD] * rules, [Q.START_RIGHT_BAD] * rules, Q.START_GOOD
+    for _ in range(rounds):
+        posterior = []
+        for own in votes:
+            a, b = log(good), log(1 - good)
+            for v, g, w in zip(own, on_good, on_bad):
+                if v > 0:
+                    a, b = a + log(g), b + log(1 - w)
+                elif v < 0:
+                    a, b = a + log(1 - g), b + log(w)
+            posterior.append(1 / (1 + exp(max(-700, min(700, b - a)))))
+        good = (sum(posterior) + extra * Q.START_GOOD) / (len(votes) + extra)
+        for j in range(rules):
+            cast = [(p, own[j]) for p, own in zip(posterior, votes) if own[j]]
+            g = (sum(p for p, v in cast if v > 0) + extra * Q.START_RIGHT_GOOD) / (sum(p for p, _ in cast) + extra)
+            w = (sum(1 - p for p, v in cast if v < 0) + extra * Q.START_RIGHT_BAD) / (sum(1 - p for p, _ in cast) + extra)
+            on_good[j], on_bad[j] = min(1 - 1e-4, max(0.5, g)), min(1 - 1e-3, max(1e-3, w))
+    return posterior
+
+
+def test_posterior_and_verdict_against_plain_em(spark):
+    found = Q.weak_supervision(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).orderBy("doc_id").collect()
+    want = plain_em([r["votes"] for r in found])
+    assert len({tuple(r["votes"]) for r in found}) > 5
+    for r, q in zip(found, want):
+        failed = r["n_words"] < 20 or 100 * r["n_repeat_words"] > 30 * r["n_words"]
+        assert abs(r["quality"] - q) < 1e-9 and r["base_failed"] == failed and r["kept"] == (not failed and q >= 0.5)

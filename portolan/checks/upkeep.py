@@ -12,8 +12,8 @@ from portolan.operators import open_pivot, reference_report
 from portolan.operators.check_states import check_state, key_state, merged_report
 from portolan.plans import star, summaries
 from portolan.plans.analyses import destination_profile, travel_patterns
-from portolan.plans.job import publish
-from portolan.sources import new_scratch_path
+from portolan.plans.job import check_merged, publish, rerun_months
+from portolan.sources import VersionedTable, new_scratch_path, refreshed_copy, write_partitioned
 from portolan.sources.scratch import store
 
 _FLIGHT = "airline IS NOT NULL AND fltno IS NOT NULL"
@@ -157,3 +157,65 @@ def open_pivot_too_wide(spark: SparkSession, folder: str) -> DataFrame:
     """More categories than columns are wanted: the totals stay rows."""
     lines = table(spark, folder, "lineitem").withColumn("supplier", F.col("l_suppkey") % 300)
     return open_pivot(lines, ["l_returnflag"], "supplier", F.col("l_partkey"), widest=4)
+
+
+@query(
+    f"""
+    WITH {_FACT}
+    SELECT date_year, date_month, CASE WHEN date_year = {YEAR} AND date_month = 3 THEN 'X' ELSE gender END AS gender,
+           count(*) AS "rows", CAST(sum(flight_id) AS BIGINT) AS flight_ids
+    FROM fact GROUP BY 1, 2, 3
+    """
+)
+def month_rerun(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact table after one of its months was built again from changed records."""
+    root, raw = new_scratch_path(spark, "star"), store(numbered_records(spark, folder), "records")
+    airlines = publish(star.airlines_dimension(raw), schema.AIRLINES, root, keep=False)
+    publish(star.immigration_fact(raw, airlines, YEAR), schema.IMMIGRATION, root, keep=False)
+    month = raw.filter((F.col("i94yr") == YEAR) & (F.col("i94mon") == 3)).withColumn("gender", F.lit("X"))
+    fact = rerun_months(month, root, YEAR)
+    return fact.groupBy("date_year", "date_month", "gender").agg(F.count("*").alias("rows"), F.sum("flight_id").alias("flight_ids"))
+
+
+@query(f"WITH {_FACT} {_CHECKS.replace('count(*) - count(DISTINCT cicid)', 'count(*) * 0').replace('count(*) = count(DISTINCT cicid)', 'count(*) >= 0')}")
+def merged_checks_after_a_rerun(spark: SparkSession, folder: str) -> DataFrame:
+    """The gate of the whole fact table after a month's rerun, from stored states alone."""
+    root, raw = new_scratch_path(spark, "star"), store(numbered_records(spark, folder), "records")
+    airlines = publish(star.airlines_dimension(raw), schema.AIRLINES, root, keep=False)
+    publish(star.immigration_fact(raw, airlines, YEAR), schema.IMMIGRATION, root, keep=False)
+    rerun_months(raw.filter((F.col("i94yr") == YEAR) & (F.col("i94mon") == 3)), root, YEAR)
+    return check_merged(spark, root)
+
+
+@query(
+    """
+    SELECT o_orderstatus, count(*) AS "rows", CAST(sum(o_custkey) AS BIGINT) AS customers, 2 AS versions
+    FROM orders GROUP BY o_orderstatus
+    """
+)
+def copy_follows_source(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored copy that is asked for before and after its source changed, and once more."""
+    source, copy = new_scratch_path(spark, "source"), new_scratch_path(spark, "copy")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+
+    def asked() -> DataFrame:
+        return refreshed_copy(spark, copy, spark.read.schema(orders.schema).parquet(source), lambda df: df.drop("o_orderkey"))
+
+    orders.filter("o_orderkey % 2 = 0").write.parquet(source)
+    asked()
+    orders.filter("o_orderkey % 2 <> 0").write.mode("append").parquet(source)
+    asked()
+    found = asked()
+    versions = VersionedTable(spark, copy).manifest().number
+    return found.groupBy("o_orderstatus").agg(F.count("*").alias("rows"), F.sum("o_custkey").alias("customers"), F.lit(versions).alias("versions"))
+
+
+@query("SELECT l_returnflag, CAST(l_shipdate AS DATE)::VARCHAR AS shipped, count(*) AS \"rows\", CAST(sum(l_partkey) AS BIGINT) AS parts FROM lineitem GROUP BY ALL")
+def clustered_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows written in folders, in ranges of day and part within each, and read back."""
+    path = new_scratch_path(spark, "clustered")
+    lines = table(spark, folder, "lineitem").select("l_returnflag", F.to_date("l_shipdate").alias("day"), "l_partkey")
+    write_partitioned(lines, path, ["l_returnflag"], cluster_by=["day", "l_partkey"])
+    return spark.read.parquet(path).groupBy("l_returnflag", F.col("day").cast("string").alias("shipped")).agg(
+        F.count("*").alias("rows"), F.sum("l_partkey").alias("parts")
+    )

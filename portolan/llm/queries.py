@@ -194,7 +194,31 @@ def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.prefix_trie(prefix_trie.with_shared_beginnings(turns))
 
 
-@query()
+# Bytes are spelt in hexadecimal; pieces of 64 bytes keep the windows' offsets small.
+_REPEATS_SQL = """
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    pieces AS (
+        SELECT r, doc_id, p, substr(h, 2 * p + 1, 226) AS x FROM d, unnest(range(0, CAST(length(h) / 2 AS BIGINT), 64)) t(p)),
+    windows AS (
+        SELECT r, doc_id, p + i AS s, substr(x, 2 * i + 1, 100) AS w
+        FROM pieces, unnest(range(0, 64)) u(i) WHERE 2 * i + 100 <= length(x)),
+    firsts AS (SELECT w, min(doc_id) AS m FROM windows GROUP BY w HAVING min(doc_id) < max(doc_id)),
+    dups AS (SELECT DISTINCT r, s FROM windows JOIN firsts USING (w) WHERE doc_id > m),
+    marked AS (SELECT *, CASE WHEN s <= lag(s) OVER (PARTITION BY r ORDER BY s) + 50 THEN 0 ELSE 1 END AS new FROM dups),
+    numbered AS (SELECT *, sum(new) OVER (PARTITION BY r ORDER BY s) AS k FROM marked),
+    spans AS (SELECT r, k, min(s) AS a, max(s) + 50 AS b FROM numbered GROUP BY r, k),
+    cut AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS z FROM spans),
+    kept AS (
+        SELECT r, count(*) AS n, sum(b - a) AS gone, max(b) AS tail,
+            string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) AS body
+        FROM cut JOIN d USING (r) GROUP BY r)
+    SELECT doc_id, CAST(length(h) / 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed,
+        CAST(coalesce(n, 0) AS BIGINT) AS n_spans,
+        sha256(unhex(coalesce(body, '') || substr(h, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
+    FROM d LEFT JOIN kept USING (r)"""
+
+
+@query(_REPEATS_SQL)
 def op13_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(table(spark, folder, "documents"), least=50)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])

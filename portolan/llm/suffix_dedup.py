@@ -14,7 +14,7 @@ from portolan.sources.scratch import store
 
 # Bytes of text that one task reads at a time, and sampled suffixes that one slot is
 # expected to hold; both numbers of groups follow the size of the table.
-BATCH_BYTES, SLOT_SEEDS, LEAST_SLOTS = 16 << 20, 1 << 20, 16
+BATCH_BYTES, SLOT_SEEDS, LEAST_SLOTS = 16 << 20, 1 << 20, 64
 # Bytes at the head of a suffix that settle whether it is sampled.
 HEAD = 20
 # Window starts that are worked on at a time, windows in one batch of the family, and

@@ -271,10 +271,10 @@ def prefix_trie(turns: Turns) -> DataFrame:
         F.count_if(F.col("p") == 0).alias("n_children"), F.coalesce(F.sum("leaves"), F.lit(1)).alias("n_leaves"),
         F.coalesce(F.sum("saved"), F.lit(0)).alias("saved_tokens"),
     )
-    ended = digests.filter(F.col("name") == F.lit(ROOT)).agg(F.max("ends_sha256").alias("e"))
-    top = sums.join(F.broadcast(ended)).select(
+    ended = digests.filter(F.col("name") == F.lit(ROOT)).agg(F.max("ends_sha256")).first()[0]
+    top = sums.select(
         F.lit(whole["rep"]).cast("long").alias("conv_id"), F.lit(0).cast("long").alias("depth"), F.lit(None).cast("long").alias("parent_conv_id"),
         F.lit(whole["n_convs"]).cast("long").alias("n_convs"), "n_children", "n_leaves", "saved_tokens",
-        F.coalesce("e", F.lit(EMPTY_SHA256)).alias("ends_sha256"),
+        F.lit(ended or EMPTY_SHA256).alias("ends_sha256"),
     )
     return rows.unionByName(top)

@@ -23,7 +23,7 @@ SEED = 42
 # is expected to hold SHARD of all fingerprints; every fingerprint is then placed by it.
 SAMPLE, SHARD, SPLIT = 32_768, 4_096, 16
 # Points of a shard that are compared with the others at a time, and comparisons.
-_BLOCK, _CELLS = 256, 1 << 22
+_BLOCK, _CELLS = 256, 1 << 21
 
 
 def fingerprint(text: str, shingle: int = 3) -> int:

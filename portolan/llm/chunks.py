@@ -9,9 +9,9 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 
 # Chunks kept of the current and of the last generation each, and the longest that is kept.
-MOST_CHUNKS, LONGEST_CHUNK = 400_000, 64
+MOST_CHUNKS, LONGEST_CHUNK = 300_000, 64
 # Bytes of texts that are split at a time.
-GROUP = 8_000_000
+GROUP = 4_000_000
 
 
 def chunk_starts(data: np.ndarray, text_starts: np.ndarray) -> np.ndarray:

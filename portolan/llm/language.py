@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from portolan.llm.kept import kept
 from portolan.sources.scratch import store
 
 UNKNOWN = "und"
@@ -30,7 +31,7 @@ SMOOTHING = 0.5
 # Tasks that cut the words of the sample into n-grams; the sample is bounded, and so are they.
 GRAM_TASKS = 32
 # Numbers kept as evidence of words met, and characters of texts that are read at a time.
-MOST_CACHED, GROUP = 4_000_000, 1_000_000
+MOST_CACHED, GROUP = 800_000, 1_000_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -107,9 +108,6 @@ class Model:
         return found
 
 
-_models: dict[str, Model] = {}
-
-
 def _grouped(texts: Iterable[str | None]) -> Iterator[list[str | None]]:
     """Texts in runs of about GROUP characters."""
     group, size = [], 0
@@ -216,10 +214,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _models:  # a worker keeps the model, and the words it has met, for later tasks
-            _models.clear()
-            _models[name] = Model(*shared.value)
-        own = _models[name]
+        own = kept(name, lambda: Model(*shared.value))  # and the words it has met, for later tasks
         for batch in batches:
             found = [x for texts in _grouped(t.as_py() for t in batch.column(len(keep))) for x in own.predict(texts)]
             langs, scores = pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())

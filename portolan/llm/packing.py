@@ -14,48 +14,48 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from portolan.llm.chunks import ChunkEncoder
+from portolan.llm.kept import kept
 from portolan.llm.ranks import ROWS_PER_BUCKET, number_within
 from portolan.sources.scratch import store
 
 BATCH_ROWS, BATCH_BYTES = 4096, 8 << 20
 # How byte-level vocabularies spell a space; chunks encoded in one line.
 _SPACE, _LINE = "\u0120", 256
-_encoders: dict[int, ChunkEncoder] = {}
 
 
 def _encoder(vocabulary: bytes) -> ChunkEncoder:
     """The encoder of a vocabulary file; a worker keeps it for its later tasks."""
-    key = hash(vocabulary)
-    if key not in _encoders:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has given out the cores
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_buffer(vocabulary)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-
-        spaced = np.array([(tokenizer.id_to_token(i) or "").startswith(_SPACE) for i in range(tokenizer.get_vocab_size())])
-
-        def ids_of(texts: list[str]) -> Iterator[np.ndarray]:
-            return (np.array(e.ids, dtype="<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False))
-
-        def encode(chunks: list[str]) -> list[bytes]:
-            """Chunks that start with their only space are encoded in long lines and told
-            apart by the tokens that start with a space; the others one by one."""
-            lined = [i for i, c in enumerate(chunks) if c[:1] == " " and c.count(" ") == 1 and not c[-1].isspace()]
-            found: dict[int, bytes] = {}
-            runs = [lined[i : i + _LINE] for i in range(0, len(lined), _LINE)]
-            for run, ids in zip(runs, ids_of(["".join(chunks[i] for i in run) for run in runs])):
-                starts = (4 * np.flatnonzero(spaced[ids])).tolist()
-                if len(starts) == len(run):
-                    line = ids.tobytes()
-                    found.update((i, line[a:b]) for i, a, b in zip(run, starts, [*starts[1:], len(line)]))
-            others = [i for i in range(len(chunks)) if i not in found]
-            found.update(zip(others, (ids.tobytes() for ids in ids_of([chunks[i] for i in others]))))
-            return [found[i] for i in range(len(chunks))]
-
-        _encoders.clear()
-        _encoders[key] = ChunkEncoder(encode)
-    return _encoders[key]
+    return kept(("encoder", hash(vocabulary)), lambda: _new_encoder(vocabulary))
+
+
+def _new_encoder(vocabulary: bytes) -> ChunkEncoder:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has given out the cores
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_buffer(vocabulary)
+    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+
+    spaced = np.array([(tokenizer.id_to_token(i) or "").startswith(_SPACE) for i in range(tokenizer.get_vocab_size())])
+
+    def ids_of(texts: list[str]) -> Iterator[np.ndarray]:
+        return (np.array(e.ids, dtype="<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+
+    def encode(chunks: list[str]) -> list[bytes]:
+        """Chunks that start with their only space are encoded in long lines and told
+        apart by the tokens that start with a space; the others one by one."""
+        lined = [i for i, c in enumerate(chunks) if c[:1] == " " and c.count(" ") == 1 and not c[-1].isspace()]
+        found: dict[int, bytes] = {}
+        runs = [lined[i : i + _LINE] for i in range(0, len(lined), _LINE)]
+        for run, ids in zip(runs, ids_of(["".join(chunks[i] for i in run) for run in runs])):
+            starts = (4 * np.flatnonzero(spaced[ids])).tolist()
+            if len(starts) == len(run):
+                line = ids.tobytes()
+                found.update((i, line[a:b]) for i, a, b in zip(run, starts, [*starts[1:], len(line)]))
+        others = [i for i in range(len(chunks)) if i not in found]
+        found.update(zip(others, (ids.tobytes() for ids in ids_of([chunks[i] for i in others]))))
+        return [found[i] for i in range(len(chunks))]
+
+    return ChunkEncoder(encode)
 
 
 def token_pieces(
@@ -174,15 +174,15 @@ def pack(pieces: DataFrame, identity: Sequence[str] = ("doc_id", "piece"), capac
     ``identity`` may trade places. No pieces give no rows. Columns named sequence_id,
     offset or rank are replaced.
     """
-    kept = [c for c in pieces.columns if c not in ("sequence_id", "offset", "rank")]
-    stored = store(pieces.select(*kept), "pieces")
+    columns = [c for c in pieces.columns if c not in ("sequence_id", "offset", "rank")]
+    stored = store(pieces.select(*columns), "pieces")
     counts = {r["length"]: r["count"] for r in stored.groupBy("length").count().collect()}
     plan = best_fit_plan(counts, capacity)
     # So many buckets that a frequent length is spread over all tasks of a shuffle.
     tasks = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranked = number_within(stored, "length", list(identity), counts, "rank", min(ROWS_PER_BUCKET, max(64, sum(counts.values()) // tasks)))
     if not plan:
-        return ranked.select(*kept, F.lit(None).cast("long").alias("sequence_id"), F.lit(None).cast("long").alias("offset"))
+        return ranked.select(*columns, F.lit(None).cast("long").alias("sequence_id"), F.lit(None).cast("long").alias("offset"))
     slots = stored.sparkSession.createDataFrame(
         plan, "length long, first_rank long, `count` long, first_sequence long, `each` long, base long"
     ).alias("s")
@@ -191,7 +191,7 @@ def pack(pieces: DataFrame, identity: Sequence[str] = ("doc_id", "piece"), capac
         F.broadcast(slots), (F.col("r.length") == F.col("s.length")) & (at >= 0) & (at < F.col("s.count"))
     )
     return joined.select(
-        *[f"r.{c}" for c in kept],
+        *[f"r.{c}" for c in columns],
         (F.col("s.first_sequence") + F.floor(at / F.col("s.each"))).cast("long").alias("sequence_id"),
         (F.col("s.base") + F.pmod(at, F.col("s.each")) * F.col("r.length")).cast("long").alias("offset"),
     )

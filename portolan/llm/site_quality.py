@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from portolan.llm.kept import kept
 from portolan.llm.quality_rules import MEASURES, measure
 from portolan.operators.lookup import lookup_join
 from portolan.sources.scratch import store
@@ -24,8 +25,7 @@ _EDGE = 1e-4  # probabilities stay this far from 0 and 1
 # a feature of the measures.
 WORD_FEATURES, WORD_RIDGE = 256, 30.0
 # Words whose feature a worker remembers.
-MOST_WORDS = 500_000
-_buckets: dict[str, int] = {}
+MOST_WORDS = 100_000
 
 
 def _counted(texts: Sequence[str | None]) -> np.ndarray:
@@ -39,22 +39,25 @@ def _counted(texts: Sequence[str | None]) -> np.ndarray:
         np.minimum(1, m["n_stops"] / words), m["n_stutters"] / words, m["n_other_chars"] / chars,
     ]
     shares = np.zeros((len(texts), WORD_FEATURES))
-    if len(_buckets) > MOST_WORDS:
-        _buckets.clear()
+    known: dict[str, int] = kept("word-features", dict)
+    if len(known) > MOST_WORDS:
+        known.clear()
     for row, text in zip(shares, texts):
         for word, n in Counter((text or "").lower().split()).items():
-            at = _buckets.get(word)
+            at = known.get(word)
             if at is None:
                 at = zlib.crc32(word.encode("utf-8", "replace")) % WORD_FEATURES
                 if len(word) <= 32:
-                    _buckets[word] = at
+                    known[word] = at
             row[at] += n
     return np.c_[np.array(rates).T.reshape(len(texts), len(rates)), np.sqrt(shares / words[:, None])]
 
 
-def _chunks(column: pa.Array, most: int = 256) -> Iterator[np.ndarray]:
-    for start in range(0, len(column), most):
-        yield _counted(column.slice(start, most).to_pylist())
+def _chunks(batch: pa.RecordBatch, text: int, most: int = 256) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Parts of a batch with the features of their texts, which stand in column ``text``."""
+    for start in range(0, batch.num_rows, most):
+        part = batch.slice(start, most)
+        yield part, _counted(part.column(text).to_pylist())
 
 
 def doc_scores(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -127,8 +130,10 @@ def fit_weights(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.concatenate([*_chunks(batch.column(1)), np.empty((0, 11 + WORD_FEATURES))]).astype(np.float32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(x), pa.list_(pa.float32()))], names=["y", "x"])
+            for part, x in _chunks(batch, 1):
+                offsets = np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]
+                flat = pa.ListArray.from_arrays(pa.array(offsets), pa.array(x.astype(np.float32).ravel()))
+                yield pa.RecordBatch.from_arrays([part.column(0), flat], names=["y", "x"])
 
     found = examples.select("_y", "_text").mapInArrow(run, "y double, x array<float>").toArrow()
     if not found.num_rows:
@@ -149,8 +154,8 @@ def scored(docs: DataFrame, weights: np.ndarray, host: Column, path: Column, tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [doc_scores(x, weights) for x in _chunks(batch.column(len(keep) + 2))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep) + 2], pa.array(np.concatenate([*found, np.empty(0)]))], names=schema.names)
+            for part, x in _chunks(batch, len(keep) + 2):
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep) + 2], pa.array(doc_scores(x, weights))], names=schema.names)
 
     body = F.col(text_col).cast("string").alias("_own_text")
     rows = docs.select(*[F.col(c).alias(n) for n, c in zip(names, keep)], *_site(host, path), body)

@@ -17,9 +17,10 @@ from portolan.sources.scratch import store
 BATCH_BYTES, SLOT_SEEDS, LEAST_SLOTS = 16 << 20, 1 << 20, 64
 # Bytes at the head of a suffix that settle whether it is sampled.
 HEAD = 20
-# Window starts that are worked on at a time, windows in one batch of the family, and
-# occurrences from which a head's windows are dealt out one by one.
-STEP, RUN, HOT = 1 << 18, 1 << 16, 4_096
+# Window starts that are worked on at a time, stretches of a batch that are compared at a
+# time, windows in one batch of the family, and occurrences from which a head's windows are
+# dealt out one by one.
+STEP, PART, RUN, HOT = 1 << 18, 1 << 17, 1 << 16, 4_096
 _LAST_ID = 2**63 - 1
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _LOW = np.uint64(0xFFFFFFFF)
@@ -169,12 +170,46 @@ def repeated_heads(runs: pa.Table) -> pa.Table:
     return _table(_FLAGS, rows)
 
 
+def _windows(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """All windows from the firsts to the lasts."""
+    many = last - first + 1
+    return np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
+
+
+def _codes(batch: Batch, begin: np.ndarray, stop: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each stretch of a batch's bytes, the same for equal ones, and the place
+    among them of the first that has it. Either all are single windows or none needs to be."""
+    if (stop - begin == least).all():
+        words = _words(batch.buffer)
+        key = _mixed(words, begin, least)
+        order = np.argsort(key, kind="stable")
+        tied = np.flatnonzero(np.diff(key[order]) == 0)
+        if not _same(words, begin[order[tied]], begin[order[tied + 1]], least).all():  # the bytes decide
+            order = np.lexsort([words[begin + o] for o in _offsets(least)])
+        new = np.r_[True, ~_same(words, begin[order[1:]], begin[order[:-1]], least)][: len(order)]
+        codes = np.empty(len(order), dtype=np.int64)
+        codes[order] = np.cumsum(new) - 1
+        return codes, order[new]
+    buffer = batch.buffer
+    coded = pa.array([buffer[a:b] for a, b in zip(begin.tolist(), stop.tolist())], pa.binary()).dictionary_encode()
+    codes = coded.indices.to_numpy()
+    return codes, np.unique(codes, return_index=True)[1]
+
+
+def _parts(slot: np.ndarray) -> Iterator[np.ndarray]:
+    """Places in the order of their slots, about PART at a time; a slot stays together."""
+    order = np.argsort(slot, kind="stable")
+    at = _starts(slot[order])
+    return iter(np.split(order, at[1:][np.diff(at // PART) > 0]))
+
+
 def contexts_of(number: int, batch: Batch, flags: pa.Table, least: int, bits: int) -> pa.Table:
     """The bytes of all windows of each suffix whose head repeats, by slot.
 
     Equal bytes go once per batch, under the smallest id that has them; in documents of
-    larger ids they are spans already, which stand in the row of the batch's names (slot
-    -1 - batch). The windows of a hot head go one by one, each to the slot of its digest.
+    larger ids they are spans already, which stand, joined, in the row of the batch's names
+    (slot -1 - batch). The windows of a hot head go one by one, each to the slot of its
+    digest. Some slots are worked on at a time, as a batch may have as many windows as bytes.
     """
     flagged, hot_heads = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
     for slot, heads, hot in zip(*(flags.column(c).to_pylist() for c in ("slot", "heads", "hot"))):
@@ -189,40 +224,48 @@ def contexts_of(number: int, batch: Batch, flags: pa.Table, least: int, bits: in
     use = np.isin(key[at], np.concatenate(flagged)) | (ord_[at] != lasts)
     is_hot = np.isin(key[at], np.concatenate(hot_heads)) | (sizes >= HOT)
     pick, spread = np.sort(order[np.repeat(use & ~is_hot, sizes)]), np.sort(order[np.repeat(use & is_hot, sizes)])
+    del order, key, ord_
 
-    many = batch.last[spread] - batch.first[spread] + 1
-    windows = np.repeat(batch.first[spread], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    begin = np.r_[batch.first[pick], windows]
-    stop = np.r_[batch.last[pick] + least, windows + least]
-    doc = np.r_[batch.doc[pick], np.repeat(batch.doc[spread], many)]
-    dealt = _mixed(_words(batch.buffer), windows, least) >> np.uint64(64 - bits)
-    slot = np.r_[batch.slot[pick], dealt.astype(np.int64)]
-    own = batch.ords[doc]
-
-    buffer = batch.buffer
-    coded = pa.array([buffer[a:b] for a, b in zip(begin.tolist(), stop.tolist())], pa.binary()).dictionary_encode()
-    codes = coded.indices.to_numpy()
-    smallest = np.full(len(coded.dictionary), _LAST_ID)
-    np.minimum.at(smallest, codes, own)
-    later = own > smallest[codes]
     before = batch.ends - np.diff(np.r_[0, batch.ends])
-    spans = np.zeros(later.sum(), dtype=_SPAN)
-    spans["doc"], spans["start"], spans["stop"] = doc[later], (begin - before[doc])[later], (stop - before[doc])[later]
-    rows = [(-1 - number, number, None, None, None, spans.tobytes(), b"".join(batch.names))]
-
-    kept = np.flatnonzero(~later)
-    kept = kept[np.lexsort((codes[kept], slot[kept]))]
-    texts = coded.dictionary.to_pylist()
-    for s, a, b in _slices(slot[kept]):
-        here = kept[a:b]
-        firsts = _starts(codes[here])
-        names = codes[here][firsts]
-        uses = np.zeros(len(here), dtype=_USE)
-        uses["context"] = np.repeat(np.arange(len(firsts)), np.diff(np.r_[firsts, len(here)]))
-        uses["doc"], uses["at"] = doc[here], begin[here] - before[doc[here]]
-        own_texts = [texts[i] for i in names.tolist()]
-        lengths = np.array([len(x) for x in own_texts], dtype="<u4").tobytes()
-        rows.append((s, number, b"".join(own_texts), lengths, smallest[names].astype("<i8").tobytes(), uses.tobytes(), None))
+    # 1 where windows begin that a smaller id of the batch has, -1 past them: each window is of one suffix.
+    edges = np.zeros(len(batch.buffer) + 1, dtype=np.int8)
+    rows = []
+
+    def send(slot: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> None:
+        doc = np.searchsorted(batch.ends, begin, side="right")
+        codes, firsts = _codes(batch, begin, stop, least)
+        own, smallest = batch.ords[doc], np.full(len(firsts), _LAST_ID)
+        np.minimum.at(smallest, codes, own)
+        later = own > smallest[codes]
+        edges[begin[later]] += 1
+        edges[stop[later] - least + 1] -= 1
+        kept = np.flatnonzero(~later)
+        kept = kept[np.lexsort((codes[kept], slot[kept]))]
+        for s, a, b in _slices(slot[kept]):
+            here = kept[a:b]
+            starts = _starts(codes[here])
+            names = codes[here][starts]
+            uses = np.zeros(len(here), dtype=_USE)
+            uses["context"] = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(here)]))
+            uses["doc"], uses["at"] = doc[here], begin[here] - before[doc[here]]
+            texts = [batch.buffer[i:j] for i, j in zip(begin[firsts[names]].tolist(), stop[firsts[names]].tolist())]
+            lengths = np.array([len(x) for x in texts], dtype="<u4").tobytes()
+            rows.append((s, number, b"".join(texts), lengths, smallest[names].astype("<i8").tobytes(), uses.tobytes(), None))
+
+    for part in _parts(batch.slot[pick]):
+        own = pick[part]
+        send(batch.slot[own], batch.first[own], batch.last[own] + least)
+    windows = _windows(batch.first[spread], batch.last[spread])
+    digests = [_mixed(_words(batch.buffer), windows[i : i + STEP], least) >> np.uint64(64 - bits) for i in range(0, len(windows), STEP)]
+    dealt = np.concatenate([np.empty(0, np.int32), *[d.astype(np.int32) for d in digests]])
+    for part in _parts(dealt):
+        send(dealt[part], windows[part], windows[part] + least)
+
+    start = np.flatnonzero(edges > 0)
+    spans = np.zeros(len(start), dtype=_SPAN)
+    spans["doc"] = doc = np.searchsorted(batch.ends, start, side="right")
+    spans["start"], spans["stop"] = start - before[doc], np.flatnonzero(edges < 0) - 1 + least - before[doc]
+    rows.append((-1 - number, number, None, None, None, spans.tobytes(), b"".join(batch.names)))
     return _table(_CONTEXTS, rows)
 
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -139,3 +140,34 @@ def test_levels_grow_geometrically():
         sizes = [len(x) for x in family.levels]
         assert all(a >= 2 * b for a, b in zip(sizes, sizes[1:]))
     assert sum(map(len, family.levels)) == len({text[i : i + 50] for i in range(40000)})
+
+
+def weak_digest(words, at, n):
+    """Few different digests, the same for equal bytes: the bytes must decide."""
+    return (words[at] & np.uint64(7)) << np.uint64(61)
+
+
+@pytest.mark.parametrize(("part", "hot", "same_digests"), [(1, 2, False), (40, 2, False), (7, 10_000, False), (40, 2, True)])
+def test_slots_of_a_batch_in_parts(monkeypatch, part, hot, same_digests):
+    monkeypatch.setattr(S, "PART", part)
+    monkeypatch.setattr(S, "HOT", hot)
+    monkeypatch.setattr(S, "_mixed", weak_digest if same_digests else S._mixed)
+    rows = list({t: (i, t) for i, t in corpus(5) if t}.values())
+    assert in_one_process(rows, 20, 3, 3) == sorted([(i, spans) for i, _, spans, _ in brute(rows, 20)], key=repr)
+
+
+def test_hot_windows_of_a_batch_take_little_memory():
+    draw = random.Random(1)
+    line = "a line that each of many documents has, with enough bytes for many windows of fifty, " * 4
+    texts = [f"{draw.getrandbits(256):064x}{line}{draw.getrandbits(256):064x}".encode() for _ in range(10_000)]
+    batch = S.Batch(pa.table({"t": [i.to_bytes(32, "big") for i in range(10_000)], "ord": range(10_000), "b": texts}), 50, 7)
+    flags = S.repeated_heads(S.heads_of(0, batch))
+    tracemalloc.start()
+    try:
+        contexts = S.contexts_of(0, batch, flags, 50, 7)
+        assert tracemalloc.get_traced_memory()[1] < 60 * len(batch.buffer)
+    finally:
+        tracemalloc.stop()
+    joined = [r["uses"] for r in contexts.to_pylist() if r["slot"] < 0]
+    # One span a document, not one a window; the first document has the line, the others copy it.
+    assert [len(np.frombuffer(x, S._SPAN)) for x in joined] == [9_999]

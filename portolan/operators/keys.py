@@ -39,7 +39,8 @@ def dense_surrogate_key(df: DataFrame, order_by: Sequence[str], name: str = "id"
     sizes of the partitions before it are added. The sorted rows are written to the
     session's checkpoint folder first, so the places are stored facts that a lost
     executor cannot change. Only the table of partition sizes, one row per partition,
-    is summed in one task and broadcast.
+    is summed in one task and broadcast; it is stored too, so that the rows' readers do not
+    count them again.
     """
     # monotonically_increasing_id: partition number in the upper 31 bits, row below.
     sorted_rows = df.orderBy(*order_by).withColumn("_place", F.monotonically_increasing_id())
@@ -53,7 +54,7 @@ def dense_surrogate_key(df: DataFrame, order_by: Sequence[str], name: str = "id"
         placed.groupBy("_part").agg(F.count("*").alias("_size"))
         .select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
     )
-    return placed.join(F.broadcast(offsets), "_part").select(
+    return placed.join(F.broadcast(store(offsets, "key-offsets")), "_part").select(
         *df.columns, (F.col("_before") + F.col("_row") + 1).alias(name)
     )
 

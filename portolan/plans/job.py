@@ -19,7 +19,7 @@ from portolan.schema import TableSpec
 from portolan.sources import read_parquet, write_partitioned, write_table
 from portolan.sources.fingerprints import fingerprint
 from portolan.sources.folders import remove_folder
-from portolan.sources.scratch import scratch_scope
+from portolan.sources.scratch import scratch_scope, store
 from portolan.sources.versions import VersionedTable
 
 
@@ -53,24 +53,24 @@ def publish(
     A failed gate raises before anything is written. The rows are written as a new version
     beside the live one and compared with the source by count; only then the table's
     manifest names them, so that readers see the old table or the new one whatever fails.
-    ``keep`` holds a table in memory and on disk between gate and write; without it the
-    gate is a second, column-pruned read of the sources, which is cheaper for a table as
-    large as its source. ``only_present`` replaces just the partitions that occur in
-    ``df`` and ``append`` none; ``facts`` go into the manifest.
+    Gate and write read rows that are built once: ``keep`` holds them in memory and on disk
+    in between; without it they are stored in the scratch folder, for a table as large as
+    its source, and read by the columns that each step uses. ``only_present`` replaces just
+    the partitions that occur in ``df`` and ``append`` none; ``facts`` go into the manifest.
     """
     table = VersionedTable(df.sparkSession, table_path(spec, root))
     staged = table.stage()
-    if keep:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        checked = enforce(run_checks(df, spec.name, spec.expectations))
-        if spec.partition_by:
-            write_partitioned(df, staged, spec.partition_by, cluster_by=spec.cluster_by)
-        else:
-            write_table(df, staged)
-    finally:
-        if keep:
-            df.unpersist()
+    with scratch_scope(df.sparkSession):
+        df = df.persist(StorageLevel.MEMORY_AND_DISK) if keep else store(df, spec.name)
+        try:
+            checked = enforce(run_checks(df, spec.name, spec.expectations))
+            if spec.partition_by:
+                write_partitioned(df, staged, spec.partition_by, cluster_by=spec.cluster_by)
+            else:
+                write_table(df, staged)
+        finally:
+            if keep:
+                df.unpersist()
     rows = next(r["observed"] for r in checked if r["check"] == "has_rows")
     if read_parquet(df.sparkSession, staged, spec.schema).count() != rows:
         raise QualityError(f"{spec.name}: the written table does not hold the source's rows")
@@ -207,7 +207,7 @@ def rerun_months(records: DataFrame, root: str, year: int = 2016, **options: obj
     counts, keys = fact_states(spark, root)
     staged = table.stage()
     with scratch_scope(spark):
-        fact = star.immigration_fact(records, airlines, year, **options)
+        fact = store(star.immigration_fact(records, airlines, year, **options), spec.name)
         write_partitioned(fact, staged, by, cluster_by=spec.cluster_by)
         rows = fact.count()
     new = read_parquet(spark, staged, spec.schema)  # the states come from the written rows

@@ -371,3 +371,9 @@ def test_profiles(spark):
     assert rows(uniqueness(df.limit(0), "k")) == [(0, 0, None)]
     casts = spark.createDataFrame([("1",), ("x",), (None,)], "t string")
     assert rows(rejected_casts(casts, {"t": "int"})) == [("t", "int", 1)]
+
+
+def test_key_offsets_are_stored(spark, plan):
+    keyed = dense_surrogate_key(spark.range(100).repartition(5), ["id"], "n")
+    assert "Window" not in plan(keyed) and "Aggregate" not in plan(keyed)
+    assert keyed.filter("n <> id + 1").count() == 0

@@ -322,3 +322,19 @@ def test_command_line(spark, records, sources, tmp_path, capsys):
     printed = capsys.readouterr().out
     assert "immigration_ft: 4 rows" in printed and "ports_dm: 4 rows" in printed
     assert "no airline or flight number: 2 records" in printed
+
+
+@pytest.mark.parametrize("keep", [True, False])
+def test_publish_builds_its_rows_once(spark, tmp_path, keep):
+    """Gate, the ranges of the folders and the write share one build."""
+    spec, built = schema.IMMIGRATION, spark.sparkContext.accumulator(0)
+
+    def number(x):
+        built.add(1)
+        return x
+
+    own = F.udf(number, "int")(F.col("id").cast("int"))
+    empty = [f for f in spec.schema.fields if f.name not in ("cicid", *spec.partition_by)]
+    fact = spark.range(50).select(own.alias("cicid"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in empty], F.lit(2016).alias("date_year"), (F.col("id") % 2).cast("int").alias("date_month"))
+    written = publish(fact.select(*spec.schema.names), spec, str(tmp_path), keep=keep)
+    assert written.count() == 50 and built.value == 50

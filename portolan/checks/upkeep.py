@@ -169,7 +169,7 @@ def open_pivot_too_wide(spark: SparkSession, folder: str) -> DataFrame:
 )
 def month_rerun(spark: SparkSession, folder: str) -> DataFrame:
     """The fact table after one of its months was built again from changed records."""
-    root, raw = new_scratch_path(spark, "star"), store(numbered_records(spark, folder), "records")
+    root, raw = new_scratch_path(spark, "star"), numbered_records(spark, folder)
     airlines = publish(star.airlines_dimension(raw), schema.AIRLINES, root, keep=False)
     publish(star.immigration_fact(raw, airlines, YEAR), schema.IMMIGRATION, root, keep=False)
     month = raw.filter((F.col("i94yr") == YEAR) & (F.col("i94mon") == 3)).withColumn("gender", F.lit("X"))
@@ -180,7 +180,7 @@ def month_rerun(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"WITH {_FACT} {_CHECKS.replace('count(*) - count(DISTINCT cicid)', 'count(*) * 0').replace('count(*) = count(DISTINCT cicid)', 'count(*) >= 0')}")
 def merged_checks_after_a_rerun(spark: SparkSession, folder: str) -> DataFrame:
     """The gate of the whole fact table after a month's rerun, from stored states alone."""
-    root, raw = new_scratch_path(spark, "star"), store(numbered_records(spark, folder), "records")
+    root, raw = new_scratch_path(spark, "star"), numbered_records(spark, folder)
     airlines = publish(star.airlines_dimension(raw), schema.AIRLINES, root, keep=False)
     publish(star.immigration_fact(raw, airlines, YEAR), schema.IMMIGRATION, root, keep=False)
     rerun_months(raw.filter((F.col("i94yr") == YEAR) & (F.col("i94mon") == 3)), root, YEAR)

@@ -18,9 +18,10 @@ from portolan.llm.kept import kept
 from portolan.llm.ranks import ROWS_PER_BUCKET, number_within
 from portolan.sources.scratch import store
 
-BATCH_ROWS, BATCH_BYTES = 4096, 8 << 20
-# How byte-level vocabularies spell a space; chunks encoded in one line.
-_SPACE, _LINE = "\u0120", 256
+BATCH_ROWS, BATCH_BYTES = 4096, 2 << 20
+# How byte-level vocabularies spell a space; chunks encoded in one line; lines, or chunks that
+# are not in one, encoded at once (an encoding takes some 100 bytes a token, its ids four).
+_SPACE, _LINE, _AT_ONCE = "\u0120", 256, 16
 
 
 def _encoder(vocabulary: bytes) -> ChunkEncoder:
@@ -38,7 +39,9 @@ def _new_encoder(vocabulary: bytes) -> ChunkEncoder:
     spaced = np.array([(tokenizer.id_to_token(i) or "").startswith(_SPACE) for i in range(tokenizer.get_vocab_size())])
 
     def ids_of(texts: list[str]) -> Iterator[np.ndarray]:
-        return (np.array(e.ids, dtype="<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+        for i in range(0, len(texts), _AT_ONCE):
+            for e in tokenizer.encode_batch_fast(texts[i : i + _AT_ONCE], add_special_tokens=False):
+                yield np.array(e.ids, dtype="<u4")
 
     def encode(chunks: list[str]) -> list[bytes]:
         """Chunks that start with their only space are encoded in long lines and told
@@ -183,8 +186,10 @@ def pack(pieces: DataFrame, identity: Sequence[str] = ("doc_id", "piece"), capac
     ranked = number_within(stored, "length", list(identity), counts, "rank", min(ROWS_PER_BUCKET, max(64, sum(counts.values()) // tasks)))
     if not plan:
         return ranked.select(*columns, F.lit(None).cast("long").alias("sequence_id"), F.lit(None).cast("long").alias("offset"))
+    # As an Arrow table: rows in a list would go through Python workers of their own.
+    names = ["length", "first_rank", "count", "first_sequence", "each", "base"]
     slots = stored.sparkSession.createDataFrame(
-        plan, "length long, first_rank long, `count` long, first_sequence long, `each` long, base long"
+        pa.table({n: pa.array(column, pa.int64()) for n, column in zip(names, zip(*plan))})
     ).alias("s")
     at = F.col("r.rank") - F.col("s.first_rank")
     joined = ranked.alias("r").join(

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import os
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
@@ -106,3 +109,32 @@ def test_chunks_start_at_safe_spaces_only():
     assert found - set(starts.tolist()) <= safe
     words = "the cat été ß l'eau".encode()
     assert chunk_starts(np.frombuffer(words, np.uint8), np.array([0])).tolist() == [0, 3, 7, 13, 16]
+
+
+def test_a_workers_memory_is_bounded():
+    """Two workers stand beside the executor's JVM: one that has met very many different words
+    holds some 150 MB more than its encoder, whatever came before."""
+    code = f"""
+import resource
+import pyarrow as pa
+from portolan.llm.packing import _encoder
+
+used = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024
+with open({FILE!r}, "rb") as f:
+    encode = _encoder(f.read())
+texts = pa.array([" ".join(f"w{{i * 7919 % 1000003:x}}q{{i}}" for i in range(a, a + 500)) for a in range(0, 900_000, 500)])
+before = used()
+for ids in encode(texts):
+    pass
+print(used() - before)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    told = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    assert int(told.stdout) < 150
+
+
+def test_the_plan_needs_no_python_worker(documents):
+    """The planned slots reach the join as a local table, not as rows that workers pickle."""
+    pieces = P.token_pieces(documents([(1, "a b c"), (2, "d")]), FILE)
+    shown = P.pack(pieces.drop("ids"))._jdf.queryExecution().toString()
+    assert "ExistingRDD" not in shown and "LocalRelation" in shown

@@ -78,9 +78,9 @@ class ByteBpe:
         self.table = PairTable(keys, merged)
         self.merges = dict(pairs)
 
-    def encode_chunks(self, chunks: list[str]) -> Iterator[bytes]:
+    def encode_chunks(self, chunks: list[bytes]) -> Iterator[bytes]:
         """The ids of each chunk; distinct words of all chunks are merged together."""
-        split = [[w.encode() for w in self.pattern.findall(c)] for c in chunks]
+        split = [[w.encode() for w in self.pattern.findall(c.decode())] for c in chunks]
         words = self.encode_words({w for ws in split for w in ws})
         return (b"".join(map(words.__getitem__, ws)) for ws in split)
 

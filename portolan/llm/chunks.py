@@ -14,22 +14,37 @@ MOST_CHUNKS, LONGEST_CHUNK = 150_000, 64
 GROUP = 1_000_000
 
 
+def maybe_space(lead: np.ndarray) -> np.ndarray:
+    """Whether bytes are among those that start a white-space character of several bytes."""
+    return (lead == 0xC2) | (lead >= 0xE1) & (lead <= 0xE3)
+
+
 def chunk_starts(data: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
     """Where chunks start in the UTF-8 bytes of texts that lie end to end.
 
-    A space between two characters that are not white space starts a new match of the usual
-    byte-level patterns, whatever stands before it, and no match reaches across it. Spaces
-    beside control characters, or beside characters whose first byte is that of some white
-    space, are left within chunks, which is always right.
+    In the usual byte-level patterns no match reaches across these places, and what stands
+    before them changes nothing behind them: before a space between two characters that are
+    not white space; between a letter (A to Z, or of Latin-1) and an ASCII digit or mark other
+    than the apostrophe; between a single line feed and a letter A to Z. So a word is one
+    chunk, whatever marks follow it. Spaces beside control characters, or beside characters
+    whose first byte is that of some white space, are left within chunks, which is always
+    right.
     """
     starts = np.zeros(len(data) + 1, dtype=bool)
     starts[text_starts] = True
     space = np.flatnonzero(data[1:-1] == 0x20) + 1
     before, after = data[space - 1], data[space + 1]
-    wide = lambda lead: (lead >= 0xE1) & (lead <= 0xE3)  # noqa: E731  (three bytes)
-    safe = (before > 0x20) & (after > 0x20) & (after != 0xC2) & ~wide(after) & ~starts[space + 1]
-    safe &= ~((before >= 0x80) & ((data[space - 2] == 0xC2) | wide(data[np.maximum(space - 3, 0)])))
+    safe = (before > 0x20) & (after > 0x20) & ~maybe_space(after) & ~starts[space + 1]
+    safe &= ~((before >= 0x80) & ((data[space - 2] == 0xC2) | maybe_space(data[np.maximum(space - 3, 0)])))
     starts[space[safe]] = True
+    shown = (data > 0x20) & (data < 0x7F)
+    letter = (data | 0x20) - np.uint8(0x61) < 26
+    mark = shown & ~letter & (data != 0x27)
+    feed = np.flatnonzero(data[1:-1] == 0x0A) + 1
+    starts[feed[shown[feed - 1] & letter[feed + 1]] + 1] = True
+    # U+00C0 to U+00FF, without the signs of multiplication and division
+    letter[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    starts[1:-1] |= letter[:-1] & mark[1:]
     return np.flatnonzero(starts[:-1])
 
 
@@ -43,12 +58,12 @@ def _parts(values: pa.LargeBinaryArray) -> list[bytes]:
 class ChunkEncoder:
     """Encodes whole texts, each distinct chunk of a group once.
 
-    ``encode`` takes a list of strings and gives the bytes of each one's ids, as
+    ``encode`` takes a list of chunks in UTF-8 and gives the bytes of each one's ids, as
     little-endian uint32. Chunks that were met before are looked up; when a generation of
     known chunks is full, those met again move on to the next one.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
+    def __init__(self, encode: Callable[[list[bytes]], list[bytes]]):
         self.encode = encode
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -56,17 +71,19 @@ class ChunkEncoder:
     def _ids(self, chunks: list[bytes]) -> list[bytes]:
         if len(self.known) > MOST_CHUNKS:
             self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        found = list(map(known.get, chunks))
+        found = list(map(self.known.get, chunks))
         missing = [i for i, ids in enumerate(found) if ids is None]
-        new = []
-        for i in missing:
-            found[i] = older.get(chunks[i])
-            (new.append(i) if found[i] is None else known.__setitem__(chunks[i], found[i]))
-        for i, ids in zip(new, self.encode([chunks[i].decode() for i in new])):
-            found[i] = ids
-            if len(chunks[i]) <= LONGEST_CHUNK:
-                known[chunks[i]] = ids
+        sought = [chunks[i] for i in missing]
+        ids = list(map(self.older.get, sought))
+        new = [i for i, old in enumerate(ids) if old is None]
+        for i, made in zip(new, self.encode([sought[i] for i in new])):
+            ids[i] = made
+        for i, made in zip(missing, ids):
+            found[i] = made
+        if max(map(len, sought), default=0) <= LONGEST_CHUNK:
+            self.known.update(zip(sought, ids))
+        else:
+            self.known.update((c, made) for c, made in zip(sought, ids) if len(c) <= LONGEST_CHUNK)
         return found
 
     def _group(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

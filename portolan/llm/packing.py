@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from portolan.llm.chunks import ChunkEncoder
+from portolan.llm.chunks import LONGEST_CHUNK, ChunkEncoder, maybe_space
 from portolan.llm.kept import kept
 from portolan.llm.ranks import ROWS_PER_BUCKET, number_within
 from portolan.sources.scratch import store
@@ -37,26 +37,47 @@ def _new_encoder(vocabulary: bytes) -> ChunkEncoder:
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
     spaced = np.array([(tokenizer.id_to_token(i) or "").startswith(_SPACE) for i in range(tokenizer.get_vocab_size())])
+    feed = tokenizer.encode("\n", add_special_tokens=False).ids
 
     def ids_of(texts: list[str]) -> Iterator[np.ndarray]:
         for i in range(0, len(texts), _AT_ONCE):
             for e in tokenizer.encode_batch_fast(texts[i : i + _AT_ONCE], add_special_tokens=False):
                 yield np.array(e.ids, dtype="<u4")
 
-    def encode(chunks: list[str]) -> list[bytes]:
-        """Chunks that start with their only space are encoded in long lines and told
-        apart by the tokens that start with a space; the others one by one."""
-        lined = [i for i, c in enumerate(chunks) if c[:1] == " " and c.count(" ") == 1 and not c[-1].isspace()]
-        found: dict[int, bytes] = {}
-        runs = [lined[i : i + _LINE] for i in range(0, len(lined), _LINE)]
-        for run, ids in zip(runs, ids_of(["".join(chunks[i] for i in run) for run in runs])):
-            starts = (4 * np.flatnonzero(spaced[ids])).tolist()
-            if len(starts) == len(run):
-                line = ids.tobytes()
-                found.update((i, line[a:b]) for i, a, b in zip(run, starts, [*starts[1:], len(line)]))
-        others = [i for i in range(len(chunks)) if i not in found]
-        found.update(zip(others, (ids.tobytes() for ids in ids_of([chunks[i] for i in others]))))
-        return [found[i] for i in range(len(chunks))]
+    def in_lines(chunks: list[bytes], between: bytes) -> Iterator[bytes | None]:
+        """Each chunk's ids out of long lines; None for those of a line that cannot be told apart."""
+        runs = [chunks[i : i + _LINE] for i in range(0, len(chunks), _LINE)]
+        for run, ids in zip(runs, ids_of([between.join(run).decode() for run in runs])):
+            starts = np.append(0, np.flatnonzero(ids == feed[0]) + 1) if between else np.flatnonzero(spaced[ids])
+            if len(starts) != len(run):
+                yield from [None] * len(run)
+                continue
+            line, begins, gap = ids.tobytes(), (4 * starts).tolist(), 4 * len(between)
+            yield from [line[a : b - gap] for a, b in zip(begins, [*begins[1:], len(line) + gap])]
+
+    def encode(chunks: list[bytes]) -> list[bytes]:
+        """Chunks that start with their only space are encoded in long lines and told apart by
+        the tokens that start with a space, short ones without a line feed in lines with line
+        feeds between them. The others, and what may end with white space, go one by one."""
+        if not chunks:
+            return []
+        data = np.frombuffer(b"".join(chunks), np.uint8)
+        ends = np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)))
+        starts = np.append(0, ends[:-1])
+        last, second, third = (data[np.maximum(ends - k, 0)] for k in (1, 2, 3))
+        solid = (last > 0x20) & ((last < 0x80) | ~(maybe_space(second) | maybe_space(third)))
+        led = solid & (data[starts] == 0x20) & (np.add.reduceat(data == 0x20, starts, dtype=np.int64) == 1)
+        whole = solid & ~led & (ends - starts <= LONGEST_CHUNK) & (len(feed) == 1)
+        whole &= np.add.reduceat(data == 0x0A, starts, dtype=np.int64) == 0
+        found: list[bytes | None] = [None] * len(chunks)
+        for kind, between in ((led, b""), (whole, b"\n")):
+            at = np.flatnonzero(kind).tolist()
+            for i, ids in zip(at, in_lines([chunks[i] for i in at], between)):
+                found[i] = ids
+        others = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(others, ids_of([chunks[i].decode() for i in others])):
+            found[i] = ids.tobytes()
+        return found
 
     return ChunkEncoder(encode)
 

@@ -138,3 +138,41 @@ def test_the_plan_needs_no_python_worker(documents):
     pieces = P.token_pieces(documents([(1, "a b c"), (2, "d")]), FILE)
     shown = P.pack(pieces.drop("ids"))._jdf.queryExecution().toString()
     assert "ExistingRDD" not in shown and "LocalRelation" in shown
+
+
+def test_chunks_end_where_marks_follow_words():
+    from portolan.llm.chunks import chunk_starts
+
+    text = "The cat, été! Más.\nThe l'eau a1 ×. «a» (the)\n\nx -a"
+    data = np.frombuffer(text.encode(), np.uint8)
+    bounds = [*chunk_starts(data, np.array([0])).tolist(), len(data)]
+    chunks = [data[a:b].tobytes().decode() for a, b in zip(bounds, bounds[1:])]
+    assert chunks == ["The", " cat", ",", " été", "!", " Más", ".\n", "The", " l'eau", " a", "1", " ×. «a» (the", ")\n\nx", " -a"]
+
+
+def test_a_word_is_encoded_once_whatever_marks_follow_it():
+    encode = P._new_encoder(open(FILE, "rb").read())
+    plain, met = encode.encode, []
+    encode.encode = lambda chunks: met.extend(chunks) or plain(chunks)
+    words, marks = [f"wor{chr(97 + i % 26)}d{chr(97 + i // 26)}é" for i in range(200)], [",", ".", "!!", "&&&", ".\nThe", ")", ":"]
+    texts = [" ".join(w + m for w in words) for m in marks]
+    tokenizer = Tokenizer.from_file(FILE)
+    assert [np.frombuffer(b, "<u4").tolist() for b in encode(texts)] == [e.ids for e in tokenizer.encode_batch(texts)]
+    assert len(met) < 230
+
+
+def test_ids_beside_marks_feeds_and_white_space():
+    """Against the library over whole texts, many at a time and one alone."""
+    draw = random.Random(5)
+    parts = ["a", "Zx", "é", "É", "ß", "×", "÷", "ÿ", "«", "—", "”", "中", "か", "😀", "\u0301", "'", "'s", "''", ".", ",", "!!", "-", "|"]
+    parts += ["<|endoftext|>", "1", "²", "\n", "\n\n", "\r\n", "\r", "\t", " ", "  ", "\0", "\x1c", "\x7f", "\x85", "\xa0", "\u2003", "\u2028", "\u3000", "\u1680"]
+    texts = [a + b + c for a in parts for b in parts for c in ("", "a", " a", "\n")]
+    texts += ["".join(draw.choices(parts, k=draw.randint(4, 60))) for _ in range(3000)]
+    tokenizer = Tokenizer.from_file(FILE)
+    tokenizer.encode_special_tokens = True
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    encode = P._new_encoder(open(FILE, "rb").read())
+    assert [np.frombuffer(b, "<u4").tolist() for b in encode(texts)] == want
+    for text in [".", " ", "\n", "é", "\xa0", "x", ""]:
+        alone = P._new_encoder(open(FILE, "rb").read()) if text == "." else encode
+        assert [np.frombuffer(b, "<u4").tolist() for b in alone([text])] == [tokenizer.encode(text, add_special_tokens=False).ids]
